@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -48,3 +49,9 @@ def discard(df: DataFrame) -> None:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         if base.removeprefix("file://") in folder:
             path.getFileSystem(conf).delete(path, True)
+
+
+def release(df: DataFrame) -> None:
+    """Let go of the shuffle files of finished plans, which Spark otherwise keeps until it next collects garbage."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
