@@ -15,14 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from vdjlake.storage import cut
+from vdjlake.storage import cut, release
 
 #: An n-gram whose possible pairs (evaluation x training values) exceed this is refined by n-grams of the rest.
 HOT_PAIRS = 1_000_000
 #: Buckets in which n-grams are counted to find the hot ones.
-COUNT_BUCKETS = 1 << 16
+COUNT_BUCKETS = 1 << 14
 
 
 @F.pandas_udf("long")
@@ -67,42 +66,41 @@ def _grams(value: Column, length: Column, width: Column, k: int, shifted: bool)
     return F.array_compact(F.array(*found))
 
 
-def _short(value: Column, most: int, length: Column) -> Column:
+def _short(value: Column) -> Column:
     """Keys of values too short for segments: their single residues. Beyond k residues one must be in common."""
-    letters = F.transform(
+    return F.transform(
         F.array_distinct(F.split(value, "")),
         lambda c: F.struct(F.xxhash64(F.lit(-1), c).bitwiseAND(F.lit(-8)).bitwiseOR(F.lit(7)).alias("key"), F.lit(0).alias("start"), F.lit(0).alias("width")),
     )
-    return F.when(length <= most, letters).otherwise(F.array().cast("array<struct<key:bigint,start:int,width:int>>"))
 
 
-def _keys(values: DataFrame, k: int, query: bool) -> DataFrame:
-    """A row for each n-gram: vid, len, sig, key, start, width. ``query``: of the evaluation side."""
+def _keys(values: DataFrame, k: int, query: bool, short: bool) -> DataFrame:
+    """A row for each n-gram: vid, len, sig, key, start, width. ``query``: of the evaluation side. Keys hold the class."""
     v, n = F.col("v"), F.col("len")
     if query:
         # the widths that training values within k residues of this length may have; the middle one suffices between
         widths = F.array_distinct(F.array(*(_width(F.greatest(n + d, F.lit(0)), k) for d in (-k, 0, k))))
-        rows = values.select("vid", "len", "sig", "v", F.explode(widths).alias("w")).filter("w >= 1")
-        grams = rows.select("vid", "len", "sig", F.explode(_grams(v, n, F.col("w"), k, True)).alias("g"))
-        short = values.filter(n <= 2 * k).select("vid", "len", "sig", F.explode(_short(v, 2 * k, n)).alias("g"))
+        rows = values.select("vid", "class", "len", "sig", "v", F.explode(widths).alias("w")).filter("w >= 1")
+        found = rows.select("vid", "class", "len", "sig", F.explode(_grams(v, n, F.col("w"), k, True)).alias("g"))
     else:
-        grams = values.select("vid", "len", "sig", F.explode(_grams(v, n, _width(n, k), k, False)).alias("g"))
-        short = values.filter(n <= k).select("vid", "len", "sig", F.explode(_short(v, k, n)).alias("g"))
-    both = grams.unionByName(short).select("vid", "len", "sig", "g.key", "g.start", "g.width")
-    return both
+        found = values.select("vid", "class", "len", "sig", F.explode(_grams(v, n, _width(n, k), k, False)).alias("g"))
+    if short:
+        few = values.filter(n <= (2 * k if query else k))
+        found = found.unionByName(few.select("vid", "class", "len", "sig", F.explode(_short(v)).alias("g")))
+    segment = F.col("g.key").bitwiseAND(F.lit(7))
+    key = F.xxhash64("class", "g.key").bitwiseAND(F.lit(-8)).bitwiseOR(segment)
+    return found.select("vid", "len", "sig", key.alias("key"), "g.start", "g.width")
 
 
-def _hot(queries: DataFrame, reference: DataFrame, limit: int) -> DataFrame:
-    """Buckets of keys whose possible pairs exceed ``limit``: column ``bucket``. Counted exactly, in bounded space."""
+def _hot(queries: DataFrame, reference: DataFrame, limit: int) -> list[int]:
+    """Buckets of keys whose possible pairs exceed ``limit``. Counted exactly; the driver holds COUNT_BUCKETS numbers."""
     bucket = F.pmod("key", F.lit(COUNT_BUCKETS)).alias("bucket")
     q = queries.groupBy(bucket).agg(F.count(F.lit(1)).alias("q"), F.lit(0).cast("long").alias("r"))
     r = reference.groupBy(bucket).agg(F.lit(0).cast("long").alias("q"), F.count(F.lit(1)).alias("r"))
-    counts = q.unionByName(r).groupBy("bucket").agg(F.sum("q").alias("q"), F.sum("r").alias("r"))
-    w = Window.partitionBy(F.lit(1))
-    # what falls into a bucket by chance is taken off, so that growth alone makes no bucket hot
-    chance = 8 * F.sum("q").over(w) / COUNT_BUCKETS * (F.sum("r").over(w) / COUNT_BUCKETS)
-    counts = counts.select("bucket", (F.col("q").cast("double") * F.col("r")).alias("pairs"), chance.alias("chance"))
-    return counts.filter((F.col("pairs") > limit) & (F.col("pairs") > F.col("chance"))).select("bucket")
+    counts = q.unionByName(r).groupBy("bucket").agg(F.sum("q").alias("q"), F.sum("r").alias("r")).collect()
+    # what falls into a bucket by chance is no reason, so that growth alone makes no bucket hot
+    chance = 8 * sum(c["q"] for c in counts) / COUNT_BUCKETS * (sum(c["r"] for c in counts) / COUNT_BUCKETS)
+    return [c["bucket"] for c in counts if c["q"] * c["r"] > max(limit, chance)]
 
 
 def _hits(queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
@@ -119,66 +117,72 @@ def _refined(keys: DataFrame, values: DataFrame, k: int, query: bool) -> DataFra
     """Keys made of a hot n-gram and an n-gram of the value without it. An edit of the rest is an edit of the value."""
     text = values.select("vid", "v")
     rest = keys.join(text, "vid").select(
-        "vid", "len", "sig", F.col("key").alias("hot"), F.concat(F.substring("v", F.lit(1), F.col("start") - 1), F.expr("substring(v, start + width)")).alias("v")
-    )
-    rest = rest.select("vid", "sig", "hot", F.col("len").alias("whole"), "v", F.length("v").alias("len"))
-    sub = _keys(rest.select(F.struct("vid", "hot", "whole").alias("vid"), "len", "sig", "v"), k, query)
-    key = F.xxhash64("vid.hot", "key").bitwiseAND(F.lit(-8)).bitwiseOR(F.col("vid.hot").bitwiseAND(F.lit(7)))
-    return sub.select("vid.vid", F.col("vid.whole").alias("len"), "sig", key.alias("key"), "start", "width").distinct()
+        F.struct("vid", F.col("len").alias("whole")).alias("vid"), F.col("key").alias("class"), "sig",
+        F.concat(F.expr("substring(v, 1, start - 1)"), F.expr("substring(v, start + width)")).alias("v"),
+    )
+    rest = rest.withColumn("len", F.length("v"))
+    if not query:  # a rest too short for segments meets all rests of its n-gram
+        rest = rest.filter(F.col("len") > k)
+    sub = _keys(rest.filter(F.col("len") > 0), k, query, True)
+    return sub.select("vid.vid", F.col("vid.whole").alias("len"), "sig", "key", "start", "width").distinct()
 
 
 def near_values(queries: DataFrame, reference: DataFrame, k: int, hot_pairs: int = HOT_PAIRS) -> DataFrame:
-    """Pairs of a query value and a reference value at most ``k`` edits apart: q_value, r_value, edits, containment.
+    """Pairs of a query value and a reference value of one class, at most ``k`` edits apart.
 
-    Both tables need ``v`` (a string that isn't null or empty, distinct), ``vid`` (its hash), ``len`` and ``sig`` as
-    ``value_table`` makes them. ``k`` is 1, 2 or 3. An n-gram that very many values share is refined: its values meet
-    only where they also share an n-gram of what remains, by the same argument; hot n-grams are recognised by exact
-    counts in a fixed number of buckets. Values of up to k residues are all within k edits of each other, so of these
-    one reference value stands for all; every other pair comes out.
+    Columns: class, q_value, r_value, edits, containment. Both tables come from ``value_table``: a row for each class
+    and value. ``k`` is 1, 2 or 3. An n-gram that very many values share is refined: its values meet only where they
+    also share an n-gram of what remains, by the same argument; hot n-grams are recognised by exact counts in a fixed
+    number of buckets. Values of up to k residues are all within k edits of each other, so one reference value stands
+    for all of a class; every other pair comes out.
     """
     if k not in (1, 2, 3):
         raise ValueError("k must be 1, 2 or 3")
-    q_keys, r_keys = _keys(queries, k, True), _keys(reference, k, False)
-    hot = cut(_hot(q_keys, r_keys, hot_pairs), "hot-ngrams")
-    if hot.limit(1).count():
-        bucket = F.pmod("key", F.lit(COUNT_BUCKETS)).alias("bucket")
-        # at most COUNT_BUCKETS rows, and a short key can't be refined
-        split = lambda keys: keys.withColumn("bucket", bucket).join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "bucket", "left").withColumn("is_hot", F.col("is_hot").isNotNull() & (F.col("width") > 0))
-        q_all, r_all = split(q_keys), split(r_keys)
-        q_rest, r_rest = q_all.filter("NOT is_hot"), r_all.filter("NOT is_hot")
-        q_hot, r_hot = q_all.filter("is_hot"), r_all.filter("is_hot")
+    tiny = reference.filter(F.col("len") <= k).groupBy("class").agg(F.min("v").alias("v")).collect()  # a row a class
+    short = bool(tiny)
+    q_keys, r_keys = _keys(queries, k, True, short), _keys(reference, k, False, short)
+    hot = _hot(q_keys, r_keys, hot_pairs)
+    if hot:
+        # single residues aren't refined; there are few values so short
+        is_hot = F.pmod("key", F.lit(COUNT_BUCKETS)).isin(hot) & (F.col("width") > 0)
+        q_rest, r_rest, q_hot, r_hot = q_keys.filter(~is_hot), r_keys.filter(~is_hot), q_keys.filter(is_hot), r_keys.filter(is_hot)
         hits = _hits(q_rest, r_rest, k).unionByName(_hits(_refined(q_hot, queries, k, True), _refined(r_hot, reference, k, False), k))
-        # values that are alike up to the hot n-gram leave too little for n-grams; these have k residues at most
         hits = hits.groupBy("q", "r").agg(F.bit_or("segments").alias("segments"))
     else:
         hits = _hits(q_keys, r_keys, k)
-    with_q = hits.join(queries.select(F.col("vid").alias("q"), F.col("v").alias("q_value")), "q")
+    hits = cut(hits, "hits")
+    release(hits)
+    with_q = hits.join(queries.select(F.col("vid").alias("q"), "class", F.col("v").alias("q_value")), "q")
     with_r = with_q.join(reference.select(F.col("vid").alias("r"), F.col("v").alias("r_value")), "r")
     edits = F.levenshtein("q_value", "r_value", k)
-    near = with_r.select("q_value", "r_value", edits.alias("edits"), (F.bit_count("segments") / (k + 1)).alias("containment")).filter("edits >= 0")
-    tiny = reference.filter(F.col("len") <= k).agg(F.min("v").alias("r_value")).filter("r_value IS NOT NULL")
-    tiny = queries.filter(F.col("len") <= k).select(F.col("v").alias("q_value")).join(F.broadcast(tiny))  # one row at most
-    tiny = tiny.select("q_value", "r_value", F.levenshtein("q_value", "r_value").alias("edits"), F.lit(0.0).alias("containment"))
-    return near.unionByName(tiny)
+    near = with_r.select("class", "q_value", "r_value", edits.alias("edits"), (F.bit_count("segments") / (k + 1)).alias("containment")).filter("edits >= 0")
+    for t in tiny:
+        few = queries.filter((F.col("len") <= k) & (F.col("class") == t["class"]))
+        near = near.unionByName(few.select("class", F.col("v").alias("q_value"), F.lit(t["v"]).alias("r_value"), F.levenshtein("v", F.lit(t["v"])).alias("edits"), F.lit(0.0).alias("containment")))
+    return near
 
 
-def value_table(rows: DataFrame, value: str, flags: dict[str, Column]) -> DataFrame:
-    """The distinct values of a column with hash, length, signature and which of ``flags`` any of their rows has.
+def value_table(rows: DataFrame, value: str, classes: list[tuple[Column, Column]]) -> DataFrame:
+    """The distinct values of a column that are of use, a row a class: class, v, vid, len, sig, query, reference.
 
-    A value in a third of all rows is one row after the partial aggregation of each task.
+    ``classes``: whether a row makes its value a query, or a reference, of class 0, 1, ... A value in a third of all
+    rows is one row after the partial aggregation of each task.
     """
-    once = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(*(F.max(c).alias(n) for n, c in flags.items()))
-    return once.select("v", F.xxhash64("v").alias("vid"), F.length("v").alias("len"), signature("v").alias("sig"), *flags)
+    flags = [f.alias(f"f{i}") for i, f in enumerate(c for pair in classes for c in pair)]
+    once = rows.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(*(F.max(f).alias(f"f{i}") for i, f in enumerate(flags)))
+    each = F.array(*(F.struct(F.lit(i).alias("class"), F.col(f"f{2 * i}").alias("query"), F.col(f"f{2 * i + 1}").alias("reference")) for i in range(len(classes))))
+    once = once.select("v", F.length("v").alias("len"), signature("v").alias("sig"), F.explode(each).alias("c")).filter("c.query OR c.reference")
+    return once.select("c.class", "v", F.xxhash64("c.class", "v").alias("vid"), "len", "sig", "c.query", "c.reference")
 
 
-def overlapping_values(values: DataFrame, query: Column, reference: Column, k: int, hot_pairs: int = HOT_PAIRS) -> DataFrame:
-    """The values marked ``query`` that equal, or are within ``k`` edits of, one marked ``reference``: column ``v``.
+def overlapping_values(values: DataFrame, k: int, hot_pairs: int = HOT_PAIRS) -> DataFrame:
+    """class and v of the queries that equal, or are within ``k`` edits of, a reference of their class.
 
     An equal value is whole containment and needs no further search.
     """
-    exact = values.filter(query & reference).select("v")
-    near = near_values(values.filter(query & ~reference), values.filter(reference), k, hot_pairs)
-    return exact.unionByName(near.select(F.col("q_value").alias("v")).distinct())
+    exact = values.filter("query AND reference").select("class", "v")
+    near = near_values(values.filter("query AND NOT reference"), values.filter("reference"), k, hot_pairs)
+    return exact.unionByName(near.select("class", F.col("q_value").alias("v")))
 
 
 def split_overlaps(
@@ -202,15 +206,28 @@ def split_overlaps(
     marked = rows.withColumns({"__s": sequence, "__j": junction, "__eval": F.coalesce(F.col(subset).isin(*evaluation), F.lit(False)), "__train": F.coalesce(F.col(subset) == training, F.lit(False))})
     used = marked.filter("__eval OR __train")
     in_eval, in_train, bare = F.col("__eval"), F.col("__train"), F.col("__s").isNull()
-    s = cut(value_table(used.select("__s", "__eval", "__train"), "__s", {"e": in_eval, "t": in_train}), "sequences")
-    by_sequence = overlapping_values(s, F.col("e"), F.col("t"), sequence_edits, hot_pairs)
-    flags = {"e_bare": in_eval & bare, "e_full": in_eval & ~bare, "t_any": in_train, "t_bare": in_train & bare}
-    j = cut(value_table(used.select("__s", "__j", "__eval", "__train"), "__j", flags), "junctions")
-    bare_hits = overlapping_values(j, F.col("e_bare"), F.col("t_any"), junction_edits, hot_pairs)
-    full_hits = overlapping_values(j, F.col("e_full"), F.col("t_bare"), junction_edits, hot_pairs)
-    found = by_sequence.select(F.lit("s").alias("__how"), F.col("v").alias("__s_hit")).distinct()
-    of_junction = bare_hits.select(F.lit(True).alias("__j_bare"), F.col("v").alias("__j_hit")).unionByName(full_hits.select(F.lit(False).alias("__j_bare"), F.col("v").alias("__j_hit"))).distinct()
+    s = cut(value_table(used.select("__s", "__eval", "__train"), "__s", [(in_eval, in_train)]), "sequences")
+    release(s)
+    # class 0: by their junctions against all training rows; class 1: against those that have no sequence
+    classes = [(in_eval & bare, in_train), (in_eval & ~bare, in_train & bare)]
+    j = cut(value_table(used.select("__s", "__j", "__eval", "__train"), "__j", classes), "junctions")
+    release(j)
+    # two 64-bit hashes stand for a value from here on
+    names = lambda c: (F.xxhash64(c), F.xxhash64(F.lit(1), c))
+    found = []
+    for values, k, by in ((s, sequence_edits, 2), (j, junction_edits, 0)):
+        hit = overlapping_values(values, k, hot_pairs)
+        one, two = names(F.col("v"))
+        found.append(cut(hit.select((F.col("class") + by).alias("__how"), one.alias("__h1"), two.alias("__h2")).distinct(), "overlapping"))
+        release(found[-1])
     evaluated = marked.filter("__eval")
-    one = evaluated.join(found, F.col("__s") == F.col("__s_hit"), "left")
-    two = one.join(of_junction, (F.col("__j") == F.col("__j_hit")) & (bare == F.col("__j_bare")), "left")
-    return two.filter("__how IS NOT NULL OR __j_bare IS NOT NULL").select(*rows.columns)
+    s1, s2 = names(F.col("__s"))
+    j1, j2 = names(F.col("__j"))
+    keyed = evaluated.select(
+        *rows.columns, F.lit(2).alias("__sh"), F.when(F.col("__s").isNotNull(), s1).alias("__s1"), s2.alias("__s2"),
+        F.when(bare, 0).otherwise(1).alias("__jh"), F.when(F.col("__j").isNotNull(), j1).alias("__j1"), j2.alias("__j2"),
+    )
+    by_s = found[0].select(F.col("__how").alias("__sh"), F.col("__h1").alias("__s1"), F.col("__h2").alias("__s2"), F.lit(True).alias("__hit_s"))
+    by_j = found[1].select(F.col("__how").alias("__jh"), F.col("__h1").alias("__j1"), F.col("__h2").alias("__j2"), F.lit(True).alias("__hit_j"))
+    both = keyed.join(by_s, ["__sh", "__s1", "__s2"], "left").join(by_j, ["__jh", "__j1", "__j2"], "left")
+    return both.filter("__hit_s OR __hit_j").select(*rows.columns)

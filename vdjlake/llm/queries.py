@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjlake.llm import heavy_hitters, linked_splits, overlap
+from vdjlake.llm import canonical, heavy_hitters, linked_splits, mixing, mojibake, overlap, packing
 from vdjlake.llm.residues import residues
 from vdjlake.storage import table
 
@@ -73,7 +73,67 @@ def p3_study_counts(spark: SparkSession, base: str) -> DataFrame:
     return every.join(hit, ["ml_subset", "study_id"], "left").select("ml_subset", "study_id", "num_records", F.coalesce("num_overlapping", F.lit(0)).alias("num_overlapping"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_assignment, p2_shares, p3_found, p3_study_counts)}
+FREE_FIELDS = ("species", "btype", "vaccine")
+
+
+def _mapped(spark: SparkSession, base: str) -> DataFrame:
+    entries = canonical.read_entries(table(spark, base, "reference_values"))
+    typed = canonical.free_values(table(spark, base, "unit_metadata", *UNIT, *FREE_FIELDS), FREE_FIELDS, entries, *UNIT)
+    return canonical.map_values(typed, entries)
+
+
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return _mapped(spark, base).select(*UNIT, "field_name", "ref_id").distinct()
+
+
+def p4_values(spark: SparkSession, base: str) -> DataFrame:
+    """Every typed value with its entry (0: none) and how often it stands; values without one are the report."""
+    return _mapped(spark, base).groupBy("field_name", "value", "ref_id", "how").agg(F.count(F.lit(1)).alias("num_rows"))
+
+
+def _budgets(spark: SparkSession, base: str) -> list[tuple[str, int]]:
+    return [(r["container_kind"], r["capacity_tokens"]) for r in table(spark, base, "token_budgets").orderBy("container_kind").collect()]  # 3 rows, fixed
+
+
+def p7_containers(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack_texts(table(spark, base, "documents", "doc_id", "text"), _budgets(spark, base))
+
+
+def p7_use(spark: SparkSession, base: str) -> DataFrame:
+    return packing.container_use(p7_containers(spark, base), _budgets(spark, base))
+
+
+def _mixture(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix_sources(table(spark, base, "documents", "doc_id", "source", "text"), table(spark, base, "mix_targets"))
+
+
+def p8_mixture(spark: SparkSession, base: str) -> DataFrame:
+    return _mixture(spark, base)[0]
+
+
+def p8_shares(spark: SparkSession, base: str) -> DataFrame:
+    return _mixture(spark, base)[1]
+
+
+def _garbled(spark: SparkSession, base: str) -> DataFrame:
+    return mojibake.garbled_documents(table(spark, base, "documents", "doc_id", "text"))
+
+
+def p9_found(spark: SparkSession, base: str) -> DataFrame:
+    return _garbled(spark, base).select("doc_id").distinct()
+
+
+def p9_restored(spark: SparkSession, base: str) -> DataFrame:
+    return _garbled(spark, base)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p1_found, p1_counts, p2_found, p2_assignment, p2_shares, p3_found, p3_study_counts, p4_found, p4_values,
+        p7_containers, p7_use, p8_mixture, p8_shares, p9_found, p9_restored,
+    )
+}
 
 _FREQUENT = """
 WITH v AS (
