@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -22,3 +26,22 @@ def build_session(app: str = "vdjlake", cores: int | None = None, shuffle_partit
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once a context, so that they needn't have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_vdjlake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="vdjlake-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "vdjlake_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._vdjlake_shipped = True
