@@ -38,6 +38,8 @@ ROUNDS = 2
 CACHE = 200_000
 WORD = r"[^ \t\r\n]+"
 SEPARATORS = r"[ \t\r\n]+"
+#: Between single-byte encodings, a word doesn't become blank or control characters.
+BLANK = re.compile(r"[\s\x00-\x1f\x7f-\xa0\xad]")
 
 
 @lru_cache(maxsize=None)
@@ -190,7 +192,7 @@ class States:
         beyond = frozenset(c for c in word if ord(c) > 127)
 
         def keep(name: str, text: str) -> None:
-            if text not in seen and text != word and self.wanted(name) and self.plausible(text):
+            if text not in seen and text != word and self.wanted(name) and self.plausible(text) and (name.startswith("utf_8") or not BLANK.search(text)):
                 seen.add(text)
                 found[name] = text
 
