@@ -4,7 +4,8 @@ A source that must give r times its tokens uses each of its texts floor(r) times
 which every text has the inclusion probability r - floor(r). The cube method draws it so that the tokens and the number
 of the texts in the sample equal their expectations: it moves the vector of probabilities through the null-space of these
 constraints until only a few aren't 0 or 1. It does so in blocks of bounded size, then among what the blocks leave,
-until a source has a handful left; landing rounds these as near as can be.
+until a source has a handful left; landing rounds these. A bounded reserve of small texts, kept out of the flights, then
+makes up for the tokens that rounding cost.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from vdjlake.storage import cut
 
 #: Texts in a block of a flight: one task's memory.
 BLOCK = 20_000
+#: Small texts of a source that stay open to the end, about.
+RESERVE = 1_000
 EPS = 1e-9
 
 
@@ -69,15 +72,57 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray
 def landing(p: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """The few open texts rounded so that tokens are as near to their expectation as can be, then the texts."""
     open_ = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+    out = np.round(p)
     if not len(open_):
-        return np.round(p)
+        return out
+    if len(open_) > 12:  # only without a reserve can there be more: largest first, each towards the goal
+        missing = 0.0
+        for k in open_[np.argsort(-tokens[open_], kind="stable")]:
+            want = missing + p[k] * tokens[k]
+            out[k] = float(want >= tokens[k] / 2)
+            missing = want - out[k] * tokens[k]
+        return out
     goal, count = float((p * tokens)[open_].sum()), float(p[open_].sum())
     best = min(product((0.0, 1.0), repeat=len(open_)), key=lambda r: (abs(float(np.dot(r, tokens[open_])) - goal), abs(sum(r) - count), r))
-    out = np.round(p)
     out[open_] = best
     return out
 
 
+def settle(p: np.ndarray, tokens: np.ndarray, reserve: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """All texts decided: what flights left open is rounded, and the reserve, still open, makes up for it.
+
+    The reserve's probabilities are first moved towards 0 or 1 alike, so that it is expected to bring the tokens that
+    rounding took away or added; then it has its own flight and landing, and the last tokens are sought by swapping
+    single texts of it in or out.
+    """
+    goal = float((p * tokens).sum())
+    out = p.copy()
+    left = ~reserve
+    out[left] = landing(p[left], tokens[left])
+    r = np.flatnonzero(reserve)
+    if not len(r):
+        return np.round(out)
+    want, t = goal - float((out * tokens)[left].sum()), tokens[r]
+    q = p[r]
+    have, most = float((q * t).sum()), float(t.sum())
+    if want < have:
+        q = q * max(want, 0.0) / max(have, EPS)
+    else:
+        q = 1 - (1 - q) * max(most - want, 0.0) / max(most - have, EPS)
+    order = np.argsort(-t, kind="stable")  # small ones last: what stays open at the end is small
+    z = flight(np.clip(q[order], 0.0, 1.0), np.column_stack([t[order], np.ones(len(t))]), rng)
+    z = landing(z, t[order])
+    for _ in range(50):
+        off = want - float(np.dot(z, t[order]))
+        change = np.where(z > 0.5, -t[order], t[order])
+        k = int(np.argmin(np.abs(off - change)))
+        if abs(off - change[k]) >= abs(off):
+            break
+        z[k] = 1 - z[k]
+    out[r[order]] = z
+    return np.round(out)
+
+
 def sized_texts(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """One row for each different text of a source: source, doc_id (the least), tokens.
 
@@ -135,36 +180,35 @@ def mix_sources(documents: DataFrame, targets: DataFrame, size: int | None = Non
     frame = plan(totals, listed, size)
     rates = spark.createDataFrame([(s, float(r)) for s, r in zip(frame["source"], frame["rate"])] or [], "source string, rate double")
     state = sized.join(F.broadcast(rates), "source").select("source", "doc_id", "tokens", F.floor("rate").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"))
-    state = cut(state, "flight")
-    most = max([n for _, n, _ in totals], default=0)
-    schema = "source string, doc_id bigint, tokens bigint, p double"
+    sizes = spark.createDataFrame([(s, float(t) / n, min(1.0, 2.0 * RESERVE / n)) for s, n, t in totals] or [], "source string, mean double, portion double")
+    by_hash = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1_000_000)
+    state = state.join(F.broadcast(sizes), "source").withColumn("reserve", (F.col("tokens") <= F.col("mean")) & (by_hash < F.col("portion"))).drop("mean", "portion")
+    state = cut(state, "state")
+    columns = ["source", "doc_id", "tokens", "p", "reserve"]
+    schema = "source string, doc_id bigint, tokens bigint, p double, reserve boolean"
 
     def fly(last: bool):
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("doc_id").reset_index(drop=True)
-            rng = np.random.default_rng(abs(hash((seed, int(rows["doc_id"].sum()), len(rows)))) % 2**63)
-            order = rng.permutation(len(rows))
-            p, t = rows["p"].to_numpy()[order], rows["tokens"].to_numpy(dtype=float)[order]
-            p = flight(p, np.column_stack([t, np.ones(len(t))]), rng)
-            if last:
-                p = landing(p, t)
-            return pd.DataFrame({"source": rows["source"], "doc_id": rows["doc_id"].to_numpy()[order], "tokens": t.astype("int64"), "p": p})
+            rows = rows.sort_values(["tokens", "doc_id"], ascending=[False, True]).reset_index(drop=True)
+            p, t = rows["p"].to_numpy(dtype=float), rows["tokens"].to_numpy(dtype=float)
+            rng = np.random.default_rng([seed, len(rows), int(rows["doc_id"].abs().max())])
+            p = settle(p, t, rows["reserve"].to_numpy(dtype=bool), rng) if last else flight(p, np.column_stack([t, np.ones(len(t))]), rng)
+            return rows.assign(p=p)[columns]
 
         return run
 
-    done, open_ = [], state.select("source", "doc_id", "tokens", "p")
-    while True:
-        blocks = max(1, -(-most // block))
-        last = blocks == 1
-        # blocks of one source: its rows are spread evenly by hash, whatever its size
-        flown = open_.groupBy("source", F.pmod(F.xxhash64("doc_id", F.lit(blocks)), F.lit(blocks)).alias("__block")).applyInPandas(fly(last), schema)
-        flown = cut(flown, "flight")
-        settled = flown.filter(f"p <= {EPS} OR p >= 1 - {EPS}") if not last else flown
-        done.append(settled)
-        if last:
-            break
+    # flights in blocks of one source, over which its rows are spread evenly by hash, until one block would do
+    done, open_ = [], state.filter("NOT reserve").select(*columns)
+    most = max([n for _, n, _ in totals], default=0)
+    while most > 12:
+        blocks = -(-most // block)
+        near = F.pmod(F.xxhash64("doc_id", F.lit(blocks)), F.lit(blocks)).alias("__block")
+        flown = cut(open_.groupBy("source", near).applyInPandas(fly(False), schema), "flight")
+        done.append(flown.filter(f"p <= {EPS} OR p >= 1 - {EPS}"))
         open_ = flown.filter(f"p > {EPS} AND p < 1 - {EPS}")
-        most = 2 * blocks  # two open texts a block at most
+        most = 3 * blocks if blocks > 1 else 0  # three open texts a block at most
+    last = open_.unionByName(state.filter("reserve").select(*columns))
+    done.append(cut(last.groupBy("source").applyInPandas(fly(True), schema), "landing"))
     extra = done[0]
     for d in done[1:]:
         extra = extra.unionByName(d)
