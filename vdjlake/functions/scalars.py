@@ -7,6 +7,7 @@ from math import comb
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Species names that are normalised; others stay as they are. Fixed values.
 SPECIES = {
@@ -95,14 +96,14 @@ def portable_subset(value: Column, subsets: tuple[tuple[str, int], ...] = SUBSET
     return _by_bucket(F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint") % 100, subsets)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _xxh32(values: pd.Series, seeds: pd.Series) -> pd.Series:
     import xxhash
 
     return pd.Series([None if v is None else xxhash.xxh32_intdigest(v, seed=int(s)) for v, s in zip(values, seeds)], dtype="Int64")
 
 
-@F.pandas_udf("decimal(20,0)")
+@F.pandas_udf(T.DecimalType(20, 0))
 def xxh3_64(values: pd.Series) -> pd.Series:
     """Unsigned 64-bit XXH3 of a string; Spark's own xxhash64 is another function."""
     from decimal import Decimal

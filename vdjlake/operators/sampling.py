@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from vdjlake.schema import UNIT_KEY
@@ -24,7 +25,7 @@ def sample_rows(df: DataFrame, n: int, unit: Sequence[str] = UNIT_KEY, key: Sequ
     return df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= n).drop("__rank")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def unit_chance(ids: pd.Series) -> pd.Series:
     """The first uniform number of a NumPy generator seeded by xxh32 of the id: what others draw for the same unit."""
     import numpy as np

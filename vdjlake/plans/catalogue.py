@@ -1,7 +1,7 @@
 """All queries outside the training-data subpackage."""
 
-from vdjlake.plans import general
+from vdjlake.plans import general, repertoire
 
-FLAGSHIP = "p6_study_counts"
-QUERIES = {**general.QUERIES}
-ORACLE_SQL = {**general.ORACLE_SQL}
+FLAGSHIP = "pipeline_default"
+QUERIES = {**repertoire.QUERIES, **general.QUERIES}
+ORACLE_SQL = {**repertoire.ORACLE_SQL, **general.ORACLE_SQL}
