@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from vdjlake.schema import header_family
@@ -57,30 +56,34 @@ def unit_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def read_units(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = ("",)) -> DataFrame:
     """Raw string rows of unit files with oas_subset, study_id, unit_id and index_in_unit.
 
-    Files are grouped by header, as an explicit schema goes by position, and each group is one scan. The metadata line
-    is left out as a comment; since a row that starts like it would be left out too, ``check_row_counts`` exists.
-    Null is the empty string; other ``na_tokens`` are nulls too where given. Ids are the last path parts above the
-    file. A file is one partition when compressed, so rows keep their order in it; follow with a repartition.
+    Files are grouped by header and read as lines, so that the metadata line is left out by its number, whatever the
+    rows look like, and a row's number is its place in the file. Lines are then parsed by position with the header's
+    names; a row with fewer fields has nulls for the rest. Null is the empty string; other ``na_tokens`` are nulls too
+    where given. Ids are the last path parts above the file. Quoted line ends aren't expected in these files. A
+    compressed file is one task; what follows is spread by unit, so repartition a very large one.
     """
-    groups: dict[tuple[tuple[str, ...], str], list[str]] = defaultdict(list)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for r in unit_headers(spark, paths).collect():  # a row a file
         if r["error"]:
             raise ValueError(f"{r['path']}: {r['error']}")
-        groups[tuple(r["column_names"]), r["first"]].append(r["path"])
+        groups[tuple(r["column_names"])].append(r["path"])
     frames = []
-    for (columns, first), files in groups.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        rows = spark.read.schema(schema).option("header", True).option("comment", first).option("quote", '"').option("escape", '"').option("enforceSchema", True).csv(files)
-        frames.append(rows.select("*", F.col("_metadata.file_path").alias("__path"), F.monotonically_increasing_id().alias("__row")))
+    order = Window.partitionBy("__path").orderBy("__block", "__row")
+    for columns, files in groups.items():
+        lines = spark.read.text(files).select(
+            "value", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row")
+        )
+        schema = ", ".join(f"`{c}` string" for c in columns)
+        rows = lines.withColumn("__line", F.row_number().over(order)).filter("__line > 2")
+        parsed = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
+        parts = F.split(F.url_decode("__path"), "/")
+        ids = [F.element_at(parts, at).alias(name) for at, name in ((-4, "oas_subset"), (-3, "study_id"), (-2, "unit_id"))]
+        frames.append(rows.select(*ids, (F.col("__line") - 3).cast("bigint").alias("index_in_unit"), parsed.alias("__r")).select("oas_subset", "study_id", "unit_id", "index_in_unit", "__r.*"))
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if tuple(na_tokens) != ("",):
-        whole = whole.select(*(F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) if not c.startswith("__") else F.col(c) for c in whole.columns))
-    parts = F.split(F.url_decode("__path"), "/")
-    index = F.row_number().over(Window.partitionBy("__path").orderBy("__row")) - 1
-    return whole.select(
-        F.element_at(parts, -4).alias("oas_subset"), F.element_at(parts, -3).alias("study_id"), F.element_at(parts, -2).alias("unit_id"),
-        index.cast("bigint").alias("index_in_unit"), *(c for c in whole.columns if not c.startswith("__")),
-    )
+        ids = ("oas_subset", "study_id", "unit_id", "index_in_unit")
+        whole = whole.select(*(F.col(c) if c in ids else F.when(~F.col(c).isin(*na_tokens), F.col(c)).alias(c) for c in whole.columns))
+    return whole
 
 
 def check_row_counts(spark: SparkSession, rows: DataFrame, paths: Sequence[str]) -> None:
