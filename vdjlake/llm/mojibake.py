@@ -332,7 +332,8 @@ def fit(documents: DataFrame, rounds: int = ROUNDS) -> Garbling:
             for b in batches:
                 yield b.assign(state=[model.word_label(w) or "" for w in b["word"]])
 
-        spread = words.repartition(F.xxhash64("word"))  # words, not their counts, are the work
+        # decoding is the work, not the few bytes of a word: a number of tasks that isn't lowered for small partitions
+        spread = words.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "word")
         labelled = cut(spread.mapInPandas(run, "word string, n bigint, state string"), "labelled")
         counts = {r["state"]: r["n"] for r in labelled.filter("state <> ''").groupBy("state").agg(F.sum("n").alias("n")).collect()}
         # a state that no word is in drops out; the rest cost what their frequency says, within bounds
