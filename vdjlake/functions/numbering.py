@@ -41,15 +41,13 @@ def with_numbering(df: DataFrame, locus: str = "locus", numbering: str = "ANARCI
     a null ``cdr3`` is wrong too unless told otherwise. Rows whose map can't be read, has none of the locus's regions,
     or has a malformed position, and rows with a null locus or an unknown status, aren't dropped: they get the error.
     """
-    whole = df.withColumn("__map", parse_numbering(F.col(numbering)))
+    whole = df.withColumn("__p", F.struct(parse_numbering(F.col(numbering)).alias("map"), parse_status(F.col(status)).alias("status")))
     keys = {r: _key(r, F.col(locus)) for r in REGIONS}
     empty = F.array().cast("array<struct<key:string,value:string>>")
-    entries = {r: F.coalesce(F.map_entries(F.col("__map")[keys[r]]), empty) for r in REGIONS}
-    # one struct array a region, each computed once
+    entries = {r: F.coalesce(F.map_entries(F.col("__p.map")[keys[r]]), empty) for r in REGIONS}
     whole = whole.withColumn("__r", F.struct(*(_residues(entries[r]).alias(r) for r in REGIONS)))
     sizes = {r: F.size(F.col(f"__r.{r}")) for r in REGIONS}
-    all_ = F.flatten(F.array(*(F.col(f"__r.{r}") for r in REGIONS)))
-    whole = whole.withColumn("__all", all_)
+    whole = whole.withColumn("__all", F.flatten(F.array(*(F.col(f"__r.{r}") for r in REGIONS))))
     fields: dict[str, Column] = {}
     start = F.lit(0)
     for r in REGIONS:
@@ -67,14 +65,13 @@ def with_numbering(df: DataFrame, locus: str = "locus", numbering: str = "ANARCI
     numbered = F.array_join(F.transform(F.col("__r.cdr3"), lambda x: x["aa"]), "")
     right = (sizes["cdr3"] > 0) & (numbered == F.col(cdr3))
     fields["has_wrong_cdr3_reconstruction"] = F.when(F.col(cdr3).isNull(), F.lit(True) if null_cdr3_is_wrong else F.lit(None).cast("boolean")).otherwise(~right)
-    parsed = whole.withColumn("__status", parse_status(F.col(status)))
-    fields |= {f"anarci_{f}": F.col(f"__status.{f}") for f in (*STATUS_FLAGS, "deletions", "insertions")}
-    here = F.array_intersect(F.map_keys(F.col("__map")), F.array(*keys.values()))
+    fields |= {f"anarci_{f}": F.col(f"__p.status.{f}") for f in (*STATUS_FLAGS, "deletions", "insertions")}
+    here = F.array_intersect(F.map_keys("__p.map"), F.array(*keys.values()))
     fields["numbering_error"] = (
         F.when(F.col(locus).isNull(), "no locus")
-        .when(F.col("__map").isNull(), F.when(F.col(numbering).isNull(), "no numbering").otherwise("unreadable numbering"))
+        .when(F.col("__p.map").isNull(), F.when(F.col(numbering).isNull(), "no numbering").otherwise("unreadable numbering"))
         .when(F.size(here) == 0, "no region of this locus")
         .when(F.exists(every, lambda x: x["pos"].isNull() | x["code"].isNull() | x["aa"].isNull()), "malformed position")
-        .when(F.size("__status.unknown") > 0, F.concat(F.lit("unknown status: "), F.array_join("__status.unknown", "; ")))
+        .when(F.size("__p.status.unknown") > 0, F.concat(F.lit("unknown status: "), F.array_join("__p.status.unknown", "; ")))
     )
-    return parsed.withColumns(fields).drop("__map", "__r", "__all", "__status")
+    return whole.withColumns(fields).drop("__p", "__r", "__all")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def _listed(items: Column, prefix: str) -> Column:
     return F.transform(F.flatten(lists), lambda x: F.trim(x))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_status(status: Column, strict: bool = False) -> Column:
     """A struct of the five flags, ``deletions`` (array of smallint, sorted), ``insertions`` (sorted) and ``unknown``.
 
@@ -20,11 +27,18 @@ def parse_status(status: Column, strict: bool = False) -> Column:
     nothing. Lists without an element are null. ``unknown`` holds messages of no known rule, or with more than one
     colon; with ``strict`` these are an error.
     """
-    is_list = F.ltrim(status).startswith("[")
-    messages = F.transform(F.coalesce(F.from_json(F.when(is_list, status), "array<string>"), F.array().cast("array<string>")), lambda x: F.trim(x))
+    is_list = F.coalesce(F.ltrim(status).startswith("["), F.lit(False))
+    none = F.array().cast("array<string>")
+    listed = F.from_json(F.when(is_list, status), "array<string>")
+    messages = F.transform(F.coalesce(listed, none), lambda x: F.trim(x))
     rules = F.when(~is_list, F.filter(F.transform(F.split(status, r"\|"), lambda x: F.trim(x)), lambda x: x != ""))
-    rules = F.coalesce(rules, F.array().cast("array<string>"))
-    shorter = _listed(rules, "Shorter than IMGT defined")
+    unreadable = is_list & listed.isNull()
+    parts = F.struct(messages.alias("messages"), F.coalesce(rules, none).alias("rules"), F.when(unreadable, F.array(status)).otherwise(none).alias("unparsed"))
+    return let(parts, lambda p: let(F.struct(p.alias("p"), _listed(p["rules"], "Shorter than IMGT defined").alias("shorter")), lambda q: _fields(q["p"], q["shorter"], strict)))
+
+
+def _fields(parts: Column, shorter: Column, strict: bool) -> Column:
+    rules, messages = parts["rules"], parts["messages"]
 
     def rule_named(name: str) -> Column:
         return F.exists(rules, lambda x: F.trim(F.split_part(x, F.lit(":"), F.lit(1))) == name)
@@ -35,8 +49,7 @@ def parse_status(status: Column, strict: bool = False) -> Column:
     known_rule = r"^(Deletions|Insertion|Missing Conserved Cysteine|Shorter than IMGT defined|Unusual residue)\s*:[^:]*$|^CDR3 is over 37 aa long(:[^:]*)?$"
     known_message = r"^(Missing Conserved Cysteine 23 or 104|fw[14] is shorter than IMGT defined|Unusual amino acid: \S+|Insertion: \S+)$"
     odd_region = F.filter(shorter, lambda x: ~x.isin("fw1", "fw4"))
-    unparsed = F.when(is_list & F.from_json(status, "array<string>").isNull(), F.array(status)).otherwise(F.array().cast("array<string>"))
-    unknown = F.concat(F.filter(rules, lambda x: ~x.rlike(known_rule)), F.filter(messages, lambda x: ~x.rlike(known_message)), odd_region, unparsed)
+    unknown = F.concat(F.filter(rules, lambda x: ~x.rlike(known_rule)), F.filter(messages, lambda x: ~x.rlike(known_message)), odd_region, parts["unparsed"])
     if strict:
         unknown = F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown status: "), F.array_join(unknown, "; "))).cast("array<string>")).otherwise(unknown)
     deletions = F.array_sort(F.array_distinct(F.transform(F.filter(_listed(rules, "Deletions"), lambda x: x != ""), lambda x: x.try_cast("smallint"))))

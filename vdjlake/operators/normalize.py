@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vdjlake.functions.numbering import with_numbering
 from vdjlake.functions.scalars import loose_int, tf_flag
 from vdjlake.schema import DOUBLE_COLUMNS, FLAGS, INT_COLUMNS, OFFSET_STRETCHES, REGIONS, SEQUENCE_SCHEMA, SOURCE_NAMES, U1
+from vdjlake.storage import cut
 
 SUFFIXES = ("", "_heavy", "_light")
 CANDIDATES = tuple(sorted({*U1, "sequence_id", "Isotype"}))
@@ -19,11 +20,16 @@ SIGNED = ("d_germline_length",)
 
 
 def strip_suffix(df: DataFrame, suffix: str, keep: Sequence[str], candidates: Sequence[str] = CANDIDATES) -> DataFrame | None:
-    """The columns of one chain under their plain names, beside ``keep``; None where the suffix has no column."""
+    """The columns of one chain under their plain names, beside ``keep``; None where the suffix has no column.
+
+    A row without any value in them has no record of that chain and is left out, so that files of different headers
+    can be in one table.
+    """
     there = [c for c in candidates if f"{c}{suffix}" in df.columns]
     if not there:
         return None
-    return df.select(*keep, *(F.col(f"{c}{suffix}").alias(c) for c in there))
+    some = F.coalesce(*(F.col(f"{c}{suffix}").cast("string") for c in there)).isNotNull()
+    return df.filter(some).select(*keep, *(F.col(f"{c}{suffix}").alias(c) for c in there))
 
 
 def unpivot_pairs(df: DataFrame, keep: Sequence[str], candidates: Sequence[str] = CANDIDATES) -> DataFrame:
@@ -94,7 +100,8 @@ def row_errors(df: DataFrame, flag_sources: Sequence[str] = ()) -> Column:
 def canonical_rows(raw: DataFrame, keep: Sequence[str] = ("oas_subset", "study_id", "unit_id")) -> tuple[DataFrame, DataFrame]:
     """(rows of the canonical table, quarantined rows with ``error``) of raw rows with ``keep`` and ``index_in_unit``.
 
-    One narrow pipeline without a shuffle. A bad row goes to quarantine; the others of its unit stay.
+    One narrow pipeline without a shuffle, written once to the shared folder, as both results come from it: a filter on
+    the error would otherwise repeat the parsing. A bad row goes to quarantine; the others of its unit stay.
     """
     ids = [*keep, "index_in_unit"]
     long = unpivot_pairs(raw, ids)
@@ -107,7 +114,7 @@ def canonical_rows(raw: DataFrame, keep: Sequence[str] = ("oas_subset", "study_i
     typed = zero_based(numbers(long))
     typed = with_numbering(typed).withColumn("chain", F.when(F.col("locus") == "H", "heavy").otherwise("light"))
     error = F.nullif(F.concat_ws("; ", F.col("__flag_error"), row_errors(typed)), F.lit(""))
-    typed = typed.withColumn("error", error).drop("__flag_error", "numbering_error")
-    good = typed.filter("error IS NULL").drop("error", "ANARCI_numbering", "ANARCI_status").withColumnsRenamed({k: v for k, v in SOURCE_NAMES.items() if v != "anarci_status"})
+    typed = cut(typed.withColumn("error", error).drop("__flag_error", "numbering_error", "ANARCI_numbering", "ANARCI_status"), "canonical")
+    good = typed.filter("error IS NULL").drop("error").withColumnsRenamed({k: v for k, v in SOURCE_NAMES.items() if v != "anarci_status"})
     bad = typed.filter("error IS NOT NULL").select(*ids, "chain", "error")
     return conform(good, keep=list(keep)), bad
