@@ -115,16 +115,17 @@ def _hits(queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
 
 
 def _refined(keys: DataFrame, values: DataFrame, k: int, query: bool) -> DataFrame:
-    """Keys made of a hot n-gram and an n-gram of the value without it. An edit of the rest is an edit of the value."""
+    """Keys made of a hot n-gram and an n-gram of the value without it. An edit of the rest is an edit of the value.
+
+    From a width of 2 on, the rest of a training value has more than k residues, so it has segments of its own.
+    """
     text = values.select("vid", "v")
     rest = keys.join(text, "vid").select(
         F.struct("vid", F.col("len").alias("whole")).alias("vid"), F.col("key").alias("class"), "sig",
         F.concat(F.expr("substring(v, 1, start - 1)"), F.expr("substring(v, start + width)")).alias("v"),
     )
     rest = rest.withColumn("len", F.length("v"))
-    if not query:  # a rest too short for segments meets all rests of its n-gram
-        rest = rest.filter(F.col("len") > k)
-    sub = _keys(rest.filter(F.col("len") > 0), k, query, True)
+    sub = _keys(rest, k, query, False)
     return sub.select("vid.vid", F.col("vid.whole").alias("len"), "sig", "key", "start", "width").distinct()
 
 
@@ -144,8 +145,8 @@ def near_values(queries: DataFrame, reference: DataFrame, k: int, hot_pairs: int
     q_keys, r_keys = _keys(queries, k, True, short), _keys(reference, k, False, short)
     hot = _hot(q_keys, r_keys, hot_pairs)
     if hot:
-        # single residues aren't refined; there are few values so short
-        is_hot = F.pmod("key", F.lit(COUNT_BUCKETS)).isin(hot) & (F.col("width") > 0)
+        # single residues, which only values below 2 (k + 1) residues have as n-grams, leave too little to refine
+        is_hot = F.pmod("key", F.lit(COUNT_BUCKETS)).isin(hot) & (F.col("width") > 1)
         q_rest, r_rest, q_hot, r_hot = q_keys.filter(~is_hot), r_keys.filter(~is_hot), q_keys.filter(is_hot), r_keys.filter(is_hot)
         hits = _hits(q_rest, r_rest, k).unionByName(_hits(_refined(q_hot, queries, k, True), _refined(r_hot, reference, k, False), k))
         hits = hits.groupBy("q", "r").agg(F.bit_or("segments").alias("segments"))
