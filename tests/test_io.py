@@ -148,3 +148,18 @@ def test_embed(spark):
     df = spark.createDataFrame([(1, "ACAC"), (2, None), (3, "")], "id int, sequence_aa string")
     out = {r["id"]: r["embedding"] for r in embed(df, composition_model, batch=1).collect()}
     assert out[1][:2] == [0.5, 0.5] and out[2] is None and sum(out[3]) == 0
+
+
+def test_command_line(spark, folder):
+    from vdjlake import cli
+
+    _unit(f"{folder}/raw", "unpaired", "S_2020", "a_Heavy_IGHM", "U1")
+    assert cli.main(["process-units", f"{folder}/raw/*/*/*/*.csv.gz", f"{folder}/rows"]) == 0
+    assert cli.main(["consolidate-stats", f"{folder}/rows", f"{folder}/stats"]) == 0
+    assert cli.main(["summarize-stats", f"{folder}/stats", f"{folder}/summary"]) == 0
+    assert spark.read.parquet(f"{folder}/summary/matrix").filter("position = 'total'").first()["total"] == 6
+    assert cli.main(["build-index", f"{folder}/rows", f"{folder}/index"]) == 0
+    with pytest.raises(SystemExit):
+        cli.main(["copy"])
+    with pytest.raises(FileNotFoundError):
+        cli.main(["check-units", f"{folder}/nothing*"])
