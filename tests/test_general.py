@@ -98,3 +98,17 @@ def test_queries_have_the_columns_of_their_sql(spark):
         names = [d[0] for d in cursor.description]
         assert sorted(names) == sorted(df.columns)
         assert sorted(map(str, (tuple(r[c] for c in names) for r in df.collect()))) == sorted(map(str, cursor.fetchall())), name
+
+
+def test_cut_tables_are_files_and_can_be_deleted(spark):
+    from vdjlake.storage import cut, discard, sweep
+
+    a, b = cut(spark.range(5), "a"), cut(spark.range(3).withColumn("x", F.lit(None).cast("string")), "b")
+    assert (a.count(), b.schema.names, b.count()) == (5, ["id", "x"], 3)
+    discard(a)
+    with pytest.raises(Exception):
+        a.collect()
+    assert b.count() == 3
+    sweep(spark)
+    with pytest.raises(Exception):
+        b.collect()

@@ -118,6 +118,11 @@ def no_naive(threshold: int = 2, aligned: str = "v_sequence_alignment_aa", germl
     return keep_where(f"NoNaive(threshold={threshold})", lambda: mutations() >= threshold)
 
 
+def simplify_schema(columns: Sequence[str]) -> RowFilter:
+    """Only ``columns``; the planner then reads no others."""
+    return RowFilter("SimplifySchema", lambda df: df.select(*columns))
+
+
 def merge_step(unit: Sequence[str] = UNIT_KEY, value: str = "sequence_aa", order: Sequence[str] = ("index_in_unit", "chain")) -> RowFilter:
     return RowFilter("MergeRedundant(use_all_known=False)", lambda df: merge_redundant(df, unit, value, order))
 

@@ -51,6 +51,12 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables that ``cut`` has written to the shared folder; call it when their results aren't read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/vdjlake")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(df: DataFrame) -> None:
     """Let go of the shuffle files of finished plans, which Spark otherwise keeps until it next collects garbage."""
     gc.collect()
