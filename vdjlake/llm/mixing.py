@@ -200,10 +200,13 @@ def mix_sources(documents: DataFrame, targets: DataFrame, size: int | None = Non
     # flights in blocks of one source, over which its rows are spread evenly by hash, until one block would do
     done, open_ = [], state.filter("NOT reserve").select(*columns)
     most = max([n for _, n, _ in totals], default=0)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     while most > 12:
         blocks = -(-most // block)
-        near = F.pmod(F.xxhash64("doc_id", F.lit(blocks)), F.lit(blocks)).alias("__block")
-        flown = cut(open_.groupBy("source", near).applyInPandas(fly(False), schema), "flight")
+        near = F.pmod(F.xxhash64("doc_id", F.lit(blocks)), F.lit(blocks))
+        # a flight is work, not bytes: a number of tasks that isn't lowered for small partitions
+        spread = open_.withColumn("__block", near).repartition(tasks, "source", "__block")
+        flown = cut(spread.groupBy("source", "__block").applyInPandas(fly(False), schema), "flight")
         done.append(flown.filter(f"p <= {EPS} OR p >= 1 - {EPS}"))
         open_ = flown.filter(f"p > {EPS} AND p < 1 - {EPS}")
         most = 3 * blocks if blocks > 1 else 0  # three open texts a block at most
