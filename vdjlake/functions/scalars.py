@@ -28,11 +28,15 @@ def study_year(author: Column) -> Column:
     return F.right(F.trim(author), F.lit(4)).try_cast("bigint")
 
 
+#: Where words of a camel-cased name are parted, one after the other; fixed values.
+WORD_STARTS = (("(.)([A-Z][a-z]+)", "$1_$2"), ("__([A-Z])", "_$1"), (r"([a-z\d])([A-Z])", "$1_$2"))
+
+
 def snake_case(name: Column) -> Column:
     """``CamelCase`` and ``camelHTTPCase`` as ``camel_case`` and ``camel_http_case``."""
-    head = F.regexp_replace(name, "(.)([A-Z][a-z]+)", "$1_$2")
-    tail = F.regexp_replace(F.regexp_replace(head, "__([A-Z])", "_$1"), r"([a-z\d])([A-Z])", "$1_$2")
-    return F.lower(tail)
+    for pattern, parted in WORD_STARTS:
+        name = F.regexp_replace(name, pattern, parted)
+    return F.lower(name)
 
 
 def tf_flag(value: Column, strict: bool = True) -> Column:
