@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vdjlake.storage import cut, release
+from vdjlake.storage import cut, discard, release
 
 #: An n-gram whose possible pairs (evaluation x training values) exceed this is refined by n-grams of the rest.
 HOT_PAIRS = 1_000_000
@@ -221,6 +221,7 @@ def split_overlaps(
         hit = overlapping_values(values, k, hot_pairs)
         one, two = names(F.col("v"))
         found.append(cut(hit.select((F.col("class") + by).alias("__how"), one.alias("__h1"), two.alias("__h2")).distinct(), "overlapping"))
+        discard(values)  # what follows needs the hashes only
         release(found[-1])
     evaluated = marked.filter("__eval")
     s1, s2 = names(F.col("__s"))
