@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vdjlake.functions import positions as P
-from vdjlake.functions.status import parse_status
+from vdjlake.functions.status import let, parse_status
 from vdjlake.schema import REGIONS, STATUS_FLAGS
 
 MAP_TYPE = "map<string,map<string,string>>"
@@ -25,10 +25,13 @@ def _key(region: str, locus: Column) -> Column:
 def _residues(entries: Column) -> Column:
     """Entries of a region as structs that sort in numbering order; positions 62 and 112 count insertions backwards."""
 
+    def coded(r: Column) -> Column:
+        code = P.insertion_code(r["ins"])
+        return F.struct(r["pos"].alias("pos"), P.signed_code(r["pos"], code, P.MIRRORED_IN_RECORDS).alias("ord"), r["ins"].alias("ins"), r["aa"].alias("aa"), code.alias("code"))
+
     def one(e: Column) -> Column:
-        number, insertion = P.position_number(e["key"]), P.position_insertion(e["key"])
-        code = P.insertion_code(insertion)
-        return F.struct(number.alias("pos"), P.signed_code(number, code, P.MIRRORED_IN_RECORDS).alias("ord"), insertion.alias("ins"), e["value"].alias("aa"), code.alias("code"))
+        # the key is taken apart once
+        return let(F.struct(P.position_number(e["key"]).alias("pos"), P.position_insertion(e["key"]).alias("ins"), e["value"].alias("aa")), coded)
 
     return F.array_sort(F.transform(entries, one))
 
