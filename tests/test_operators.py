@@ -198,3 +198,27 @@ def test_merge_then_dedup_on_random_rows(spark):
             left.append((s, u, v, i, n))
     got = filters.run_filters(df, [filters.merge_step(), filters.dedup_step()]).collect()
     assert sorted(map(str, ((r["study_id"], r["unit_id"], r["sequence_aa"], r["index_in_unit"], r["redundancy"]) for r in got))) == sorted(map(str, left))
+
+
+def _tables(folder, **tables):
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_numbering_whole_loses_no_residue(rows, folder):
+    from vdjlake.plans.repertoire import QUERIES
+
+    long = "C" + "ARGLLGRFLEWWTTEGYGMDV" + "W"
+    data = [(1, "H", long), (2, "K", "cqq-ynt w"), (3, "H", "CW"), (4, "H", "C"), (5, None, long), (6, "L", " - "), (7, "H", "C" + "A" * 117 + "W"), (8, "H", "C" + "A" * 118 + "W"), (9, "H", "C" + "ARGLLGRFLEWWT" + "W")]
+    base = _tables(folder, sequences=rows(data, "record_id bigint, locus string, junction_aa string"))
+    got = {r["record_id"]: r for r in QUERIES["numbering_whole"](rows([], "x int").sparkSession, base).collect()}
+    assert sorted(got) == list(range(1, 10))
+    assert got[1]["sequence_aa"] == long and not got[1]["has_wrong_cdr3_reconstruction"] and got[1]["has_insertions"]
+    assert got[1]["positions"] == "104,105,106,107,108,109,110,111,111A,111B,111C,111D,112D,112C,112B,112A,112,113,114,115,116,117,118"
+    assert (got[1]["cdr3_aa_start"], got[1]["cdr3_aa_length"], got[1]["fwr4_aa_start"]) == (1, 21, 22)
+    assert (got[2]["sequence_aa"], got[2]["positions"]) == ("CQQYNTW", "104,105,106,107,116,117,118")
+    assert (got[3]["positions"], got[4]["positions"], got[3]["has_wrong_cdr3_reconstruction"]) == ("104,118", "104", True)
+    assert (len(got[7]["sequence_aa"]), got[7]["numbering_error"], got[7]["has_wrong_cdr3_reconstruction"]) == (119, None, False)
+    assert [got[i]["numbering_error"] for i in (5, 6, 8)] == ["no locus", "no numbering", "malformed position"]
+    assert got[9]["positions"] == ",".join(map(str, range(104, 119))) and not got[9]["has_insertions"]

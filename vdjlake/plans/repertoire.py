@@ -293,7 +293,7 @@ SELECT record_id, substr(j, 1, 13) AS sequence_aa, CASE WHEN j IS NOT NULL THEN
   substr(j, 1, 13) IS NULL OR j <> substr(j, 1, 13) AS has_wrong_cdr3_reconstruction
 FROM r WHERE locus IS NOT NULL AND j IS NOT NULL""".replace("substr(j, 1, 13) AS sequence_aa", "substr(j, 1, 14) AS sequence_aa"))
 def numbering(spark: SparkSession, base: str) -> DataFrame:
-    """Numbering literals written from junctions (13 positions of CDR3, then one of the last region) and read again."""
+    """Numbering literals written from the first 14 residues of junctions (13 positions of CDR3, one of the last region) and read again; ``numbering_whole`` has the rest."""
     j = F.nullif(F.regexp_replace(F.upper("junction_aa"), "[^A-Z]+", ""), F.lit(""))
     df = table(spark, base, "sequences", "record_id", "locus", "junction_aa").withColumn("j", j).filter("locus IS NOT NULL AND j IS NOT NULL")
     letters = F.split("j", "")
@@ -306,6 +306,52 @@ def numbering(spark: SparkSession, base: str) -> DataFrame:
     return out.filter("numbering_error IS NULL").select("record_id", "sequence_aa", "cdr3_aa_start", "cdr3_aa_length", "fwr4_aa_start", "fwr4_aa_length", "has_wrong_cdr3_reconstruction")
 
 
+#: Residue k of a whole junction: where it stands. 104 and 118 are the ends; between them, up to 7 and 6 positions of CDR3, the rest inserted on 111 and 112.
+_WHERE = """CASE WHEN k = 1 THEN 104 WHEN k = length(w) THEN 118 WHEN k - 1 <= least(7, (length(w) - 1) // 2) THEN 103 + k
+  WHEN k - 8 BETWEEN 1 AND greatest(length(w) - 15, 0) // 2 THEN 111 WHEN length(w) - k > 6 THEN 112 ELSE 118 - (length(w) - k) END"""
+_INSERTED = """CASE WHEN length(w) > 15 AND k > 8 AND k - 8 <= (length(w) - 15) // 2 THEN k - 8
+  WHEN length(w) > 15 AND k > 8 AND length(w) - k > 6 AND length(w) - 6 - k > 0 THEN length(w) - 6 - k ELSE 0 END"""
+
+
+@query(f"""WITH r AS (SELECT record_id, locus, {_CLEAN} AS j FROM sequences),
+w AS (SELECT record_id, locus, j, CASE WHEN locus IS NOT NULL THEN j END AS w FROM r),
+e AS (SELECT record_id, k, {_WHERE} AS p, {_INSERTED} AS c FROM (SELECT record_id, w, unnest(range(1, length(w) + 1)) AS k FROM w)),
+a AS (SELECT record_id, string_agg(p || CASE WHEN c = 0 THEN '' WHEN c <= 26 THEN chr(CAST(64 + c AS INTEGER)) ELSE repeat(chr(CAST(38 + c AS INTEGER)), 2) END, ',' ORDER BY k) AS positions FROM e GROUP BY 1)
+SELECT record_id, coalesce(w, '') AS sequence_aa, coalesce(positions, '') AS positions, CASE WHEN length(w) > 0 THEN 0 END AS fwr3_aa_start, CASE WHEN length(w) > 0 THEN 1 ELSE 0 END AS fwr3_aa_length,
+  CASE WHEN length(w) > 2 THEN 1 END AS cdr3_aa_start, CAST(greatest(coalesce(length(w), 0) - 2, 0) AS INTEGER) AS cdr3_aa_length,
+  CASE WHEN length(w) > 1 THEN CAST(length(w) - 1 AS INTEGER) END AS fwr4_aa_start, CASE WHEN length(w) > 1 THEN 1 ELSE 0 END AS fwr4_aa_length,
+  coalesce(length(w) > 15, false) AS has_insertions, coalesce(length(w), 0) < 3 AS has_wrong_cdr3_reconstruction,
+  CASE WHEN locus IS NULL THEN 'no locus' WHEN j IS NULL THEN 'no numbering' END AS numbering_error
+FROM w LEFT JOIN a USING (record_id)""")
+def numbering_whole(spark: SparkSession, base: str) -> DataFrame:
+    """Numbering literals of whole junctions, read again: 104, CDR3 with what it has beyond 13 residues inserted on 111 and 112, 118.
+
+    All rows come out. Those without locus or junction have no literal, those with more than 119 residues more
+    insertions than there are letters; both have their ``numbering_error``.
+    """
+    j = F.nullif(F.regexp_replace(F.upper("junction_aa"), "[^A-Z]+", ""), F.lit(""))
+    df = table(spark, base, "sequences", "record_id", "locus", "junction_aa").withColumn("j", j).withColumn("n", F.length("j") - 2)
+    n = F.greatest(F.col("n"), F.lit(0))
+    head, tail, extra = F.least(F.lit(7), F.ceil(n / 2).cast("int")), F.least(F.lit(6), F.floor(n / 2).cast("int")), F.greatest(n - 13, F.lit(0))
+    df = df.withColumns({"head": head, "tail": tail, "first": F.floor(extra / 2).cast("int"), "second": F.ceil(extra / 2).cast("int")})
+    # keys in numbering order; a third letter, which no insertion has, marks what can't be numbered
+    span = lambda start, size: F.when(size > 0, F.transform(F.sequence(F.lit(1), size), lambda i: F.concat((start + i).cast("string"), F.lit(" ")))).otherwise(F.array())
+    letters = lambda i: F.coalesce(P.insertion_of_code(i), F.lit("AAA"))
+    inserted = lambda at, size: F.when(size > 0, F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(F.lit(at), letters(i)))).otherwise(F.array())
+    keys = F.concat(span(F.lit(104), F.col("head")), inserted("111", F.col("first")), F.reverse(inserted("112", F.col("second"))), span(F.lit(117) - F.col("tail"), F.col("tail")))
+    middle = F.split(F.substring("j", 2, 1 << 30).substr(F.lit(1), n), "")
+    entry = lambda k, x: F.concat(F.lit("'"), k, F.lit("': '"), x, F.lit("'"))
+    # in the order of strings, as the numbering software writes them
+    cdr3 = F.when(n > 0, F.array_join(F.array_sort(F.zip_with(keys, middle, entry)), ", ")).otherwise(F.lit(""))
+    low, last = F.lower("locus"), F.when(F.length("j") > 1, F.concat(F.lit("'118 ': '"), F.substring("j", -1, 1), F.lit("'"))).otherwise(F.lit(""))
+    literal = F.concat(F.lit("{'fw"), low, F.lit("3': {'104 ': '"), F.substring("j", 1, 1), F.lit("'}, 'cdr"), low, F.lit("3': {"), cdr3, F.lit("}, 'fw"), low, F.lit("4': {"), last, F.lit("}}"))
+    df = df.withColumns({"literal": literal, "status": F.lit(None).cast("string"), "expected": F.when(F.col("n") > 0, F.substring("j", 2, 1 << 30).substr(F.lit(1), n))})
+    out = with_numbering(df, "locus", "literal", "status", "expected")
+    at = F.when(F.col("has_insertions"), F.zip_with("imgt_positions", "imgt_insertions", lambda p, i: F.concat(p.cast("string"), i))).otherwise(F.col("imgt_positions").cast("array<string>"))
+    regions = [f"{r}_aa_{x}" for r in ("fwr3", "cdr3", "fwr4") for x in ("start", "length")]
+    return out.select("record_id", "sequence_aa", F.array_join(at, ",").alias("positions"), *regions, "has_insertions", "has_wrong_cdr3_reconstruction", "numbering_error")
+
+
 # --- statistics
 
 _COUNTS = "SELECT chain, CAST(i AS VARCHAR) AS position, substr(junction_aa, CAST(i AS INTEGER), 1) AS residue, count(*) AS count FROM (SELECT chain, junction_aa, unnest(range(1, length(junction_aa) + 1)) AS i FROM sequences WHERE junction_aa <> '') GROUP BY ALL"
