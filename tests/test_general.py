@@ -73,6 +73,15 @@ def test_key_quantiles_are_exact(spark, span):
     assert not [r for r in got if r["k"] == "none"]
 
 
+@pytest.mark.parametrize("bits", [8, 3])
+@pytest.mark.parametrize("top", [2**24, 2**40, 2**63 - 1])
+def test_key_quantiles_at_the_ends_of_bins(spark, top, bits):
+    low = 0 if top < 2**63 - 1 else -(2**63)
+    values = sorted([low, 1, 2**21 - 1, 2**21, 2**24 - 1, top - 1, top])
+    got = key_quantiles(spark.createDataFrame([("k", v) for v in values], "k string, v bigint"), ["k"], "v", [i / 7 for i in range(1, 8)], bits).collect()
+    assert sorted(r["quantile_value"] for r in got) == values
+
+
 def test_key_quantiles_empty(spark):
     assert key_quantiles(spark.createDataFrame([], "k string, v int"), ["k"], "v", [0.5]).count() == 0
 

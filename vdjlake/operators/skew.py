@@ -88,8 +88,9 @@ def key_quantiles(
         parent, child = str(2**shift), str(2 ** (shift - step))
         binned = fine.groupBy(
             *names,
-            F.floor(F.col("__d") / F.lit(parent).cast("decimal(38,0)")).cast("decimal(38,0)").alias("__parent"),
-            F.floor(F.col("__d") / F.lit(child).cast("decimal(38,0)")).cast("decimal(38,0)").alias("__child"),
+            # a bin is named by its least offset: a quotient of decimals would be rounded to six places
+            (F.col("__d") - F.col("__d") % F.lit(parent).cast("decimal(38,0)")).cast("decimal(38,0)").alias("__parent"),
+            (F.col("__d") - F.col("__d") % F.lit(child).cast("decimal(38,0)")).cast("decimal(38,0)").alias("__child"),
         ).agg(F.sum("n").alias("n"))
         # cumulative counts within one parent bin: at most 2**bits rows in a window
         w = Window.partitionBy(*names, "__parent").orderBy("__child")
