@@ -222,3 +222,14 @@ def test_numbering_whole_loses_no_residue(rows, folder):
     assert (len(got[7]["sequence_aa"]), got[7]["numbering_error"], got[7]["has_wrong_cdr3_reconstruction"]) == (119, None, False)
     assert [got[i]["numbering_error"] for i in (5, 6, 8)] == ["no locus", "no numbering", "malformed position"]
     assert got[9]["positions"] == ",".join(map(str, range(104, 119))) and not got[9]["has_insertions"]
+
+
+def test_position_matrix_whole_has_every_residue(rows, folder):
+    from vdjlake.plans.repertoire import QUERIES
+
+    base = _tables(folder, sequences=rows([("heavy", stats.AMINO_ACIDS), ("heavy", "YJ"), ("light", None)], "chain string, junction_aa string"))
+    got = {r["position"]: r.asDict() for r in QUERIES["position_matrix_whole"](rows([], "x int").sparkSession, base).collect()}
+    assert set(stats.AMINO_ACIDS) <= set(got["1"])
+    assert {k: v for k, v in got["1"].items() if v} == {"chain": "heavy", "position": "1", "region": "fwr1", stats.AMINO_ACIDS[0]: 1, "Y": 1, "total": 2}
+    # a letter that is no residue is in the total only
+    assert sum(got["total"][r] for r in stats.AMINO_ACIDS) == len(stats.AMINO_ACIDS) + 1 and got["total"]["total"] == len(stats.AMINO_ACIDS) + 2

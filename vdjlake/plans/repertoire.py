@@ -377,6 +377,16 @@ def position_matrix(spark: SparkSession, base: str) -> DataFrame:
     return stats.in_position_order(stats.position_matrix(_counts(spark, base), ["chain"], ["A", "C", "W"]), ["chain"])
 
 
+_ALL_SUMS = ", ".join(f"CAST(sum(count) FILTER (residue = '{r}') AS BIGINT) AS {r}" for r in stats.AMINO_ACIDS)
+
+
+@query(f"""SELECT chain, position, {_REGION} AS region, {_ALL_SUMS}, CAST(sum(count) AS BIGINT) AS total FROM ({_COUNTS}) GROUP BY ALL
+UNION ALL SELECT chain, 'total', 'sequence', {_ALL_SUMS}, CAST(sum(count) AS BIGINT) FROM ({_COUNTS}) GROUP BY ALL""")
+def position_matrix_whole(spark: SparkSession, base: str) -> DataFrame:
+    """All residues of the alphabet, of which ``position_matrix`` and its SQL have three."""
+    return stats.in_position_order(stats.position_matrix(_counts(spark, base), ["chain"]), ["chain"])
+
+
 @query(f"SELECT chain, position, residue, CAST(sum(count) AS BIGINT) AS count FROM ({_COUNTS}) GROUP BY GROUPING SETS ((chain, position, residue), (chain, position), (chain, residue), (chain))")
 def position_marginals(spark: SparkSession, base: str) -> DataFrame:
     return stats.marginals(_counts(spark, base), ["chain"])
