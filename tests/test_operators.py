@@ -233,3 +233,12 @@ def test_position_matrix_whole_has_every_residue(rows, folder):
     assert {k: v for k, v in got["1"].items() if v} == {"chain": "heavy", "position": "1", "region": "fwr1", stats.AMINO_ACIDS[0]: 1, "Y": 1, "total": 2}
     # a letter that is no residue is in the total only
     assert sum(got["total"][r] for r in stats.AMINO_ACIDS) == len(stats.AMINO_ACIDS) + 1 and got["total"]["total"] == len(stats.AMINO_ACIDS) + 2
+
+
+def test_usable_units_whole_has_every_snapshot(rows, folder):
+    from vdjlake.plans.repertoire import QUERIES
+
+    data = [(n, "paired", "s", u, e) for n in (1, 6, 17) for u, e in (("a", None), ("a", None), ("b", "gone"), (f"c{n}", None))]
+    base = _tables(folder, unit_snapshots=rows(data, f"snapshot_no int, {UNIT}, download_error string"))
+    got = [(r["snapshot_no"], r["unit_id"]) for r in QUERIES["usable_units_whole"](rows([], "x int").sparkSession, base).collect()]
+    assert sorted(got) == [(1, "a"), (1, "c1"), (6, "a"), (6, "c6"), (17, "a"), (17, "c17")]

@@ -643,6 +643,12 @@ def usable_units(spark: SparkSession, base: str) -> DataFrame:
     return metadata.usable_units(table(spark, base, "unit_snapshots").filter("snapshot_no = 6")).select(*UNIT, "download_error").distinct()
 
 
+@query("SELECT DISTINCT snapshot_no, oas_subset, study_id, unit_id, download_error FROM unit_snapshots WHERE download_error IS NULL")
+def usable_units_whole(spark: SparkSession, base: str) -> DataFrame:
+    """Those of all snapshots, of which ``usable_units`` and its SQL have the sixth."""
+    return metadata.usable_units(table(spark, base, "unit_snapshots", "snapshot_no", *UNIT, "download_error")).distinct()
+
+
 # --- streams and models
 
 
