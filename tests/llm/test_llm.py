@@ -371,3 +371,14 @@ def test_the_subpackage_stands_apart():
 
     root = pathlib.Path(vdjlake.__file__).parent
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "vdjlake.llm" in p.read_text()]
+
+
+def test_token_sets_with_surplus_tokens_and_many_tokens():
+    from vdjlake.llm.canonical import Matcher, token_edits
+
+    m = Matcher([(1, ["human", "Homo sapiens"]), (2, ["rat"]), (3, ["T1/T2 immature B cells"]), (4, ["innate-like B-1 lymphocytes"]), (5, ["B cells"]), (6, ["mouse"])])
+    found = {v: m.match(v)[0] for v in ("humna donor", "Homo sapeins adult", "cells B imature T2 T1", "B-1 lymphocites innate like", "lymphocytes, B-1 xinnate like")}
+    assert found == {"humna donor": 1, "Homo sapeins adult": 1, "cells B imature T2 T1": 3, "B-1 lymphocites innate like": 4, "lymphocytes, B-1 xinnate like": 4}
+    # surplus costs: a short name needs to stand as it is, single letters aren't exchanged
+    assert [m.match(v)[0] for v in ("cat donor", "T cells blood", "huumna donor of blood kept", "horse donor")] == [0, 0, 0, 0]
+    assert token_edits(["a", "bcd"], ["bcd"], 0) == 1 and token_edits(["bcd"], ["bcd", "a"], 3) == 4 and token_edits("x abc abd".split(), "abd abe".split(), 3) == 2

@@ -2,13 +2,15 @@
 
 Every distinct value is matched once. A multi-pattern automaton over all canonical names and aliases finds the mentions
 embedded in it; the longest that don't overlap win, and the longest of these names the entry. Values without a mention
-go to token-set similarity: edits needed to turn the value's tokens, in any order and however joined, into a name's.
+go to token-set similarity: edits needed to turn the value's tokens, in any order, into a name's, with a cost for surplus
+ones; or, where spaces were lost or added, those needed to turn the tokens joined.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import permutations
 
@@ -56,6 +58,31 @@ def allowed(name: str) -> int:
     return 1 if n <= 4 else 2 if n <= 9 else max(3, n // 6)
 
 
+def token_edits(value: Sequence[str], name: Sequence[str], most: int) -> int:
+    """Edits that turn tokens of ``value``, one to one and in any order, into all of ``name``, and one for each surplus
+    token; most + 1 when there are more. A token is granted an edit for every three letters: short ones must be equal."""
+    surplus = len(value) - len(name)
+    if not 0 <= surplus <= most:
+        return most + 1
+    common = Counter(value) & Counter(name)
+    theirs, ours = list((Counter(value) - common).elements()), list((Counter(name) - common).elements())
+    if len(ours) > most - surplus:
+        return most + 1
+
+    def fewest(k: int, free: tuple[int, ...], budget: int) -> int:
+        if k == len(ours):
+            return 0
+        best = budget + 1
+        for i in free:
+            limit = min(best - 1, len(ours[k]) // 3)
+            d = edits(theirs[i], ours[k], limit)
+            if d <= limit:
+                best = min(best, d + fewest(k + 1, tuple(j for j in free if j != i), best - 1 - d))
+        return best
+
+    return min(surplus + fewest(0, tuple(range(len(theirs))), most - surplus), most + 1)
+
+
 class Matcher:
     """Matches values of one field against (ref_id, names) entries."""
 
@@ -100,10 +127,10 @@ class Matcher:
         for name, ref in self.names.items():
             flat, most = name.replace(" ", ""), allowed(name)
             forms = [flat] if len(tokens) <= 4 else [flat, "".join(sorted(name.split()))]
-            if abs(len(flat) - len(ordered[0])) > most:
-                continue
-            # an edit in a value turned around is likelier than two values turned around: order costs nothing
-            d = min(edits(v, f, most) for v in ordered for f in forms)
+            d = token_edits(tokens, name.split(), most)
+            if abs(len(flat) - len(ordered[0])) <= most:
+                # an edit in a value turned around is likelier than two values turned around: order costs nothing
+                d = min(d, *(edits(v, f, most) for v in ordered for f in forms))
             if d <= most:
                 best[ref] = min(d, best.get(ref, d))
         if not best:
