@@ -260,6 +260,15 @@ def test_packing_holds_every_token_once(spark, shard_texts):
     assert use["short"] < 0.03 and use["long"] < 0.12  # the last container of 512 may be nearly empty
 
 
+def test_neighbours_fill_a_container_to_its_end():
+    # texts of 80, 12, 20 and 8 tokens; the second and fourth share a term with the first, the third none
+    terms = [np.array([0, 1]), np.array([0]), np.array([2]), np.array([0])]
+    index = packing.Index(terms, [np.array([40, 40]), np.array([12]), np.array([20]), np.array([8])], np.ones(3), 30.0)
+    assert packing.fill(np.array([80, 12, 20, 8]), np.arange(4), index, 100) == [[0, 1, 3], [2]]
+    # nothing with a score fits: by size
+    assert packing.fill(np.array([80, 30, 20, 25]), np.arange(4), index, 100) == [[0, 2], [1, 3]]
+
+
 def test_packing_edges(spark):
     assert packing.pack_texts(spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string"), [("a", 8)]).count() == 0
     with pytest.raises(ValueError):

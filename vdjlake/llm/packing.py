@@ -2,7 +2,7 @@
 
 The texts are spread over shards of bounded size. A shard holds a BM25 inverted index of its texts, whose document
 frequencies and mean length are those of all documents. The largest unused text seeds a container; its best-scoring
-unused neighbours fill the window, and the last stretch goes to whatever fits it most closely. What a shard leaves in
+unused neighbours fill the window; what fits most closely is taken only when no neighbour with a score fits. What a shard leaves in
 containers that aren't full enough is packed again together with what other shards leave.
 """
 
@@ -21,8 +21,6 @@ from vdjlake.storage import cut
 
 #: Bounds of a shard: texts, and tokens that they have together.
 SHARD_TEXTS, SHARD_TOKENS = 4096, 4_000_000
-#: From this share on, the rest of a container is filled by size rather than by score.
-BY_SIZE_FROM = 0.7
 #: Containers filled less than this are dissolved and packed again with those of other shards.
 FULL_ENOUGH = 0.99
 K1, B = 1.2, 0.75
@@ -81,14 +79,14 @@ def fill(sizes: np.ndarray, of_text: np.ndarray, index: Index, capacity: int) ->
     while by_size:
         seed = by_size[-1][1]
         inside, left = [seed], capacity - take(seed)
-        if by_size and left > (1 - BY_SIZE_FROM) * capacity and by_size[0][0] <= left:
+        if by_size and by_size[0][0] <= left:
             score = index.scores(int(of_text[seed]))[of_text]
             near = np.flatnonzero(free & (sizes <= left) & (score > 0))
             for k in near[np.lexsort((near, -score[near]))]:
                 if sizes[k] <= left:
                     inside.append(int(k))
                     left -= take(int(k))
-                    if left <= (1 - BY_SIZE_FROM) * capacity:
+                    if not by_size or by_size[0][0] > left:
                         break
         while by_size and by_size[0][0] <= left:
             k = by_size[bisect_right(by_size, (left, len(sizes))) - 1][1]
