@@ -61,6 +61,18 @@ def test_record_counts_and_mismatches(rows):
     assert wrong.count() == 3
 
 
+def test_record_counts_come_from_bins_that_merge(spark):
+    rng = random.Random(7)
+    values = [None, -(2**63), 2**63 - 1, -65, -64, -1, 0, 63, 64, 127, 128]
+    data = [("hot", rng.choice(values) if rng.random() < 0.3 else rng.randint(-300, 300), rng.choice("hl")) for _ in range(3000)] + [("one", 5, None), ("one", 5, None), (None, None, None)]
+    counted = record_counts(spark.createDataFrame(data, "unit string, i bigint, chain string").repartition(6), ["unit"], ["i", "chain"])
+    want = {k: len({r for r in data if r[0] == k}) for k in ("hot", "one", None)}
+    assert {r["unit"]: r["num_records"] for r in counted.collect()} == want
+    # what is shuffled are bins with masks, never records
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan and "Aggregate [unit#" in plan and "Distinct" not in plan
+
+
 @pytest.mark.parametrize("span", [1, 5, 300, 2**40, 2**62])
 def test_key_quantiles_are_exact(spark, span):
     rng = random.Random(span)

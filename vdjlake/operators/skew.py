@@ -29,11 +29,20 @@ def key_histogram(df: DataFrame, keys: Sequence[str], bin_of: Column | None = No
 def record_counts(df: DataFrame, keys: Sequence[str], record: Sequence[str], name: str = "num_records") -> DataFrame:
     """Number of distinct ``record`` combinations a key (nulls being values), repeated rows counted once.
 
-    The distinct step is spread by key and record, so a key with a third of all rows is on all executors; what follows
-    it is a one-bin histogram, of which only partial counts are shuffled. An empty table gives no rows.
+    Where ``record`` has an integer column, its range is cut into bins of 64 values, and a bin of a key (and of the other
+    columns of ``record``) holds a mask of those that occur: a distinct count that merges map-side, whatever the rows. The
+    masks' sizes are the finest histogram, of which the sums are taken. Without such a column, the distinct combinations
+    are found first, spread by key and record, and counted in one bin. An empty table gives no rows.
     """
-    once = df.select(*keys, *record).distinct()
-    return key_histogram(once, keys).groupBy(*keys).agg(F.sum("n").alias(name))
+    whole = [c for c in record if isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))]
+    if not whole:
+        return key_histogram(df.select(*keys, *record).distinct(), keys).groupBy(*keys).agg(F.sum("n").alias(name))
+    value = F.col(whole[0]).cast("long")
+    # a null has a bin of its own
+    bit = F.coalesce(F.expr("shiftleft(1L, cast(__v & 63 as int))"), F.lit(1).cast("long"))
+    others = [c for c in record if c != whole[0]]
+    masks = df.select(*keys, *others, value.alias("__v")).groupBy(*keys, *others, F.shiftright("__v", 6).alias("__range")).agg(F.bit_or(bit).alias("__mask"))
+    return key_histogram(masks, keys, F.col("__range"), F.bit_count("__mask").cast("long")).groupBy(*keys).agg(F.sum("n").alias(name))
 
 
 def roll_up(counts: DataFrame, keys: Sequence[str], *names: str) -> DataFrame:
