@@ -1,7 +1,8 @@
 """Text that was decoded with another encoding than it was written in.
 
 A hidden Markov model labels the characters of a text. It has one clean state and one state for each encoding pair
-(written in, read as), for pairs applied twice over, and for readings that dropped bytes. A state emits a stretch with
+(written in, read as), for UTF-8 misread twice over, and for readings that dropped bytes. Two misreadings of which one
+is between single-byte encodings have no state. A state emits a stretch with
 the probability that a character model of clean text gives to its inverse transform; all states emit ASCII alike, and
 changes of state fall between words. The model of clean text is fitted by expectation maximisation in its hard form: character n-grams are
 counted over all words of all documents, words are labelled, and the n-grams of those labelled clean are counted again.
