@@ -391,3 +391,33 @@ def test_token_sets_with_surplus_tokens_and_many_tokens():
     # surplus costs: a short name needs to stand as it is, single letters aren't exchanged
     assert [m.match(v)[0] for v in ("cat donor", "T cells blood", "huumna donor of blood kept", "horse donor")] == [0, 0, 0, 0]
     assert token_edits(["a", "bcd"], ["bcd"], 0) == 1 and token_edits(["bcd"], ["bcd", "a"], 3) == 4 and token_edits("x abc abd".split(), "abd abe".split(), 3) == 2
+
+
+def test_values_that_share_three_segments_stay_within_bounds(spark, monkeypatch):
+    """400 evaluation and 400 training values alike but for their last quarter: pairs of an n-gram fall below the limit."""
+    rng = random.Random(11)
+    base = "".join(rng.choice("ACDEFGHIKL") for _ in range(90))
+    tails = ["".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(30)) for _ in range(760)]
+    data = [(i, "train" if i < 400 else "test", base + t) for i, t in enumerate(tails)]
+    data += [(1000 + i, "test", _mutate(rng, base + tails[i], 2)) for i in range(40)]
+    most, plain = [], overlap._hits
+
+    def counted(q, r, k, *on):
+        both = q.groupBy("key", *on).count().join(r.groupBy("key", *on).agg(F.count(F.lit(1)).alias("n")), ["key", *on])
+        most.append(both.agg(F.max(F.col("count") * F.col("n"))).first()[0] or 0)
+        return plain(q, r, k, *on)
+
+    monkeypatch.setattr(overlap, "_hits", counted)
+    df = spark.createDataFrame(data, "record_id bigint, ml_subset string, s string")
+    got = {r["record_id"] for r in overlap.split_overlaps(df, F.col("s"), F.lit(None).cast("string"), hot_pairs=2000, measures=True).collect() if r["edits"] <= 3 and r["containment"] >= 0.25}
+    assert got == {1000 + i for i in range(40)}
+    assert len(most) > 2 and max(most) <= 8000  # blocks are hashed, so about 2000
+
+
+def test_hot_keys_are_joined_in_blocks(spark):
+    values = [("A" * 6 + "".join(p), i % 2 == 0, i % 2 == 1) for i, p in enumerate(product("CDEFG", repeat=2))]
+    df = overlap.value_table(spark.createDataFrame(values, "s string, q boolean, r boolean"), "s", [(F.col("q"), F.col("r"))])
+    for hot in (1, 10**6):
+        pairs = {(r["q_value"], r["r_value"]) for r in overlap.near_values(df.filter("query"), df.filter("reference"), 1, hot).collect()}
+        assert pairs == {(a, b) for a, q, _ in values for b, _, r in values if q and r and _edit_distance(a, b) <= 1}
+        assert pairs

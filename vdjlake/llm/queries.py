@@ -56,9 +56,9 @@ def p2_shares(spark: SparkSession, base: str) -> DataFrame:
     return linked_splits.split_shares(assigned, targets).select(F.lit("all").alias("chain"), "*").unionByName(linked_splits.split_shares(assigned, targets, ["chain"]))
 
 
-def _overlaps(spark: SparkSession, base: str) -> DataFrame:
+def _overlaps(spark: SparkSession, base: str, measures: bool = False) -> DataFrame:
     rows = table(spark, base, "sequences", "record_id", "study_id", "ml_subset", *RESIDUE_FIELDS)
-    return overlap.split_overlaps(rows, residues("sequence_aa"), residues("junction_aa"))
+    return overlap.split_overlaps(rows, residues("sequence_aa"), residues("junction_aa"), measures=measures)
 
 
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
@@ -66,11 +66,14 @@ def p3_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p3_study_counts(spark: SparkSession, base: str) -> DataFrame:
-    """Overlapping and all evaluation records of each split and study."""
+    """Overlapping and all evaluation records of each split and study, those that are equal, and the mean containment."""
     every = table(spark, base, "sequences", "study_id", "ml_subset").filter(F.col("ml_subset").isin("validation", "test"))
     every = every.groupBy("ml_subset", "study_id").agg(F.count(F.lit(1)).alias("num_records"))
-    hit = _overlaps(spark, base).groupBy("ml_subset", "study_id").agg(F.count(F.lit(1)).alias("num_overlapping"))
-    return every.join(hit, ["ml_subset", "study_id"], "left").select("ml_subset", "study_id", "num_records", F.coalesce("num_overlapping", F.lit(0)).alias("num_overlapping"))
+    hit = _overlaps(spark, base, True).groupBy("ml_subset", "study_id").agg(
+        F.count(F.lit(1)).alias("num_overlapping"), F.count_if(F.col("edits") == 0).alias("num_equal"), F.avg("containment").alias("mean_containment")
+    )
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("num_overlapping", "num_equal")]
+    return every.join(hit, ["ml_subset", "study_id"], "left").select("ml_subset", "study_id", "num_records", *zero, "mean_containment")
 
 
 FREE_FIELDS = ("species", "btype", "vaccine")
