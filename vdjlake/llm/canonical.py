@@ -1,18 +1,20 @@
 """Freely typed values mapped to the entries of a canonical list.
 
 Every distinct value is matched once. A multi-pattern automaton over all canonical names and aliases finds the mentions
-embedded in it; the longest that don't overlap win, and the longest of these names the entry. Values without a mention
-go to token-set similarity: edits needed to turn the value's tokens, in any order, into a name's, with a cost for surplus
-ones; or, where spaces were lost or added, those needed to turn the tokens joined.
+embedded in it, also where spaces between words were lost or added; of these the longest that don't overlap are kept, and
+the longest of them names the entry. Values without a mention go to token-set similarity: edits needed to turn the
+value's tokens, in any order, into a name's, with a cost for surplus ones, or those needed to turn the tokens joined. The
+names to compare come from an index of pieces: a name within n edits has one of its n + 1 pieces whole.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import permutations
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,8 +24,6 @@ from pyspark.sql import types as T
 #: More entries than this aren't shipped to the workers in one piece.
 MAX_ENTRIES = 100_000
 UNMATCHED = 0
-#: Distinct values a worker remembers.
-CACHE = 100_000
 
 
 def fold(value: str) -> str:
@@ -83,6 +83,12 @@ def token_edits(value: Sequence[str], name: Sequence[str], most: int) -> int:
     return min(surplus + fewest(0, tuple(range(len(theirs))), most - surplus), most + 1)
 
 
+def pieces(name: str, edits_: int) -> list[str]:
+    """``name`` cut into edits_ + 1 pieces, or into its letters where it has fewer: one stays whole under that many edits."""
+    n = min(len(name), edits_ + 1)
+    return [name[i * len(name) // n : (i + 1) * len(name) // n] for i in range(n)]
+
+
 class Matcher:
     """Matches values of one field against (ref_id, names) entries."""
 
@@ -90,47 +96,58 @@ class Matcher:
         import ahocorasick
 
         self.names: dict[str, int] = {}
-        self.squashed: dict[str, int] = {}
-        self.sets: dict[tuple[str, ...], int] = {}
+        squashed: dict[str, int] = {}
         for ref, names in sorted(entries, key=lambda e: e[0]):
             for name in map(fold, filter(None, names)):
                 if name:  # of equal names the entry with the least ref_id counts
                     self.names.setdefault(name, ref)
-                    self.squashed.setdefault(name.replace(" ", ""), ref)
-                    self.sets.setdefault(tuple(sorted(name.split())), ref)
-        self.automaton = ahocorasick.Automaton()
-        for name, ref in self.names.items():
-            self.automaton.add_word(f" {name} ", (len(name), ref))
+                    squashed.setdefault(name.replace(" ", ""), ref)
+        self.automaton, self.index = ahocorasick.Automaton(), ahocorasick.Automaton()
+        for name, ref in squashed.items():
+            self.automaton.add_word(name, (len(name), ref))
+        self.listed = [(name, name.replace(" ", ""), "".join(sorted(name.split())), allowed(name), ref) for name, ref in self.names.items()]
+        found: dict[str, set[int]] = {}
+        for i, (name, flat, ordered, most, _) in enumerate(self.listed):
+            for text, e in ((flat, most), (ordered, most), *((t, len(t) // 3) for t in name.split())):
+                # with as many edits as letters nothing need stay whole; such names are few letters, and always compared
+                for piece in pieces(text, e) if e < len(text) else [""]:
+                    found.setdefault(piece, set()).add(i)
+        self.always = found.pop("", set())
+        for piece, at in found.items():
+            self.index.add_word(piece, frozenset(at))
         if self.names:
             self.automaton.make_automaton()
+            self.index.make_automaton()
 
-    def mention(self, folded: str) -> int:
-        """The entry of the longest mention, UNMATCHED without any. Equally long ones: the first."""
-        text = f" {folded} "
-        spans = sorted(((n, -(end - n), ref) for end, (n, ref) in self.automaton.iter(text)), key=lambda s: (-s[0], -s[1]))
+    def mentions(self, folded: str) -> list[tuple[int, int, int]]:
+        """(start, end, ref_id) of the mentions that don't overlap, in the text without spaces; longer ones first.
+
+        A mention begins and ends with a word of the value. Of equally long ones that overlap the first counts.
+        """
+        tokens = folded.split()
+        ends = list(accumulate(map(len, tokens)))
+        starts, stops = {0, *ends[:-1]}, set(ends)
+        spans = [(end + 1 - n, end + 1, ref) for end, (n, ref) in self.automaton.iter("".join(tokens)) if end + 1 in stops and end + 1 - n in starts]
         taken: list[tuple[int, int, int]] = []
-        for n, minus_start, ref in spans:
-            start = -minus_start
-            if all(start + n <= a or start >= b for a, b, _ in taken):
-                taken.append((start, start + n, ref))
-        return taken[0][2] if taken else UNMATCHED
+        by_start: list[tuple[int, int]] = []
+        for a, b, ref in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+            at = bisect_left(by_start, (a, b))
+            if (at == 0 or by_start[at - 1][1] <= a) and (at == len(by_start) or b <= by_start[at][0]):
+                by_start.insert(at, (a, b))
+                taken.append((a, b, ref))
+        return taken
 
     def similar(self, folded: str) -> int:
         """The entry whose name is the fewest edits away; UNMATCHED beyond what is allowed or when entries tie."""
         tokens = folded.split()
-        ordered = [folded.replace(" ", "")]
-        if 1 < len(tokens) <= 4:
-            ordered = list(dict.fromkeys("".join(p) for p in permutations(tokens)))
-        elif len(tokens) > 4:
-            ordered.append("".join(sorted(tokens)))
+        flat, ordered = folded.replace(" ", ""), "".join(sorted(tokens))
+        near = set(self.always).union(*(at for text in {flat, ordered} for _, at in self.index.iter(text)))
         best: dict[int, int] = {}
-        for name, ref in self.names.items():
-            flat, most = name.replace(" ", ""), allowed(name)
-            forms = [flat] if len(tokens) <= 4 else [flat, "".join(sorted(name.split()))]
+        for i in near:
+            name, its_flat, its_order, most, ref = self.listed[i]
             d = token_edits(tokens, name.split(), most)
-            if abs(len(flat) - len(ordered[0])) <= most:
-                # an edit in a value turned around is likelier than two values turned around: order costs nothing
-                d = min(d, *(edits(v, f, most) for v in ordered for f in forms))
+            if d and abs(len(flat) - len(its_flat)) <= most:
+                d = min(d, edits(flat, its_flat, most), edits(ordered, its_order, most) if len(tokens) > 1 else most + 1)
             if d <= most:
                 best[ref] = min(d, best.get(ref, d))
         if not best:
@@ -139,20 +156,19 @@ class Matcher:
         winners = [r for r, d in best.items() if d == least]
         return winners[0] if len(winners) == 1 else UNMATCHED
 
-    def match(self, value: str) -> tuple[int, str]:
-        """ref_id and how it was found: mention, tokens, similar or none."""
+    def match_all(self, value: str) -> tuple[int, str, list[int]]:
+        """ref_id, how it was found (mention, similar or none) and the entries of all mentions, in the order of the text."""
         folded = fold(value)
         if not folded or not self.names:
-            return UNMATCHED, "none"
-        if ref := self.names.get(folded):
-            return ref, "mention"
-        if ref := self.squashed.get(folded.replace(" ", "")) or self.sets.get(tuple(sorted(folded.split()))):
-            return ref, "tokens"
-        if ref := self.mention(folded):
-            return ref, "mention"
+            return UNMATCHED, "none", []
+        if found := self.mentions(folded):
+            return found[0][2], "mention", [ref for _, _, ref in sorted(found)]
         if ref := self.similar(folded):
-            return ref, "similar"
-        return UNMATCHED, "none"
+            return ref, "similar", []
+        return UNMATCHED, "none", []
+
+    def match(self, value: str) -> tuple[int, str]:
+        return self.match_all(value)[:2]
 
 
 def read_entries(reference: DataFrame) -> list[tuple[int, str, str, list[str]]]:
@@ -164,43 +180,32 @@ def read_entries(reference: DataFrame) -> list[tuple[int, str, str, list[str]]]:
 
 
 def map_values(values: DataFrame, entries: Sequence[tuple[int, str, str, Sequence[str]]], field: str = "field_name", value: str = "value") -> DataFrame:
-    """``values`` with ``ref_id`` (0: the list has none) and ``how``.
+    """``values`` with ``ref_id`` (0: the list has none), ``how`` and ``mentions``, the entries of all mentions.
 
     A null or blank value has no entry, nor has any value of a field that the list doesn't have. The list may be
-    empty. Very long values are matched whole. Values aren't shuffled: each worker remembers those it has seen, so a
-    value in a third of all rows is matched once by each. Columns of ``values`` named ref_id or how are replaced.
+    empty. Very long values are matched whole. Distinct values are matched, then joined to the rows; a value in a third
+    of all rows is one row of the side joined, so adaptive execution may split its rows. Columns of ``values`` named as
+    those of the result are replaced.
     """
-    kept = values.drop("ref_id", "how")
-    schema = T.StructType([*kept.schema.fields, T.StructField("ref_id", T.LongType()), T.StructField("how", T.StringType())])
+    kept = values.drop("ref_id", "how", "mentions")
     plain = [(ref, f, (c, *s)) for ref, f, c, s in entries]
+    once = kept.select(F.col(field).alias("__field"), F.col(value).alias("__value")).filter("__field IS NOT NULL AND __value IS NOT NULL").distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fields = {f for _, f, _ in plain}
-        matchers = {f: Matcher([(r, n) for r, g, n in plain if g == f]) for f in fields}
-        seen: dict[tuple[str, str], tuple[int, str]] = {}
-        for batch in batches:
-            refs, hows = [], []
-            for f, v in zip(batch[field], batch[value]):
-                hit = seen.get((f, v))
-                if hit is None:
-                    hit = matchers[f].match(v) if f in matchers and isinstance(v, str) else (UNMATCHED, "none")
-                    if len(seen) >= CACHE:
-                        seen.clear()
-                    seen[f, v] = hit
-                refs.append(hit[0])
-                hows.append(hit[1])
-            yield batch.assign(ref_id=pd.Series(refs, index=batch.index, dtype="int64"), how=pd.Series(hows, index=batch.index, dtype="object"))
-
-    return kept.mapInPandas(run, schema)
+        matchers = {f: Matcher([(r, n) for r, g, n in plain if g == f]) for f in {f for _, f, _ in plain}}
+        for b in batches:
+            hits = [matchers[f].match_all(v) if f in matchers else (UNMATCHED, "none", []) for f, v in zip(b["__field"], b["__value"])]
+            yield b.assign(ref_id=[h[0] for h in hits], how=[h[1] for h in hits], mentions=pd.Series([h[2] for h in hits], index=b.index, dtype="object"))
+
+    schema = T.StructType([*once.schema.fields, T.StructField("ref_id", T.LongType()), T.StructField("how", T.StringType()), T.StructField("mentions", T.ArrayType(T.LongType()))])
+    matched = once.mapInPandas(run, schema)
+    both = kept.join(matched, (kept[field] == matched["__field"]) & (kept[value] == matched["__value"]), "left")
+    return both.select(*kept.columns, F.coalesce("ref_id", F.lit(UNMATCHED)).alias("ref_id"), F.coalesce("how", F.lit("none")).alias("how"), F.coalesce("mentions", F.array().cast("array<bigint>")).alias("mentions"))
 
 
 def free_values(df: DataFrame, fields: Sequence[str], entries: Sequence[tuple[int, str, str, Sequence[str]]], *keys: str) -> DataFrame:
     """``keys``, ``field_name`` and ``value`` for every value that isn't null, blank or exactly a canonical name."""
-    # at most MAX_ENTRIES literals
-    canonical = {f: [c for _, g, c, _ in entries if g == f] for f in fields}
     every = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields))).alias("x")
-    long = df.select(*keys, every).select(*keys, "x.field_name", "x.value")
-    exact = F.lit(False)
-    for f, names in canonical.items():
-        exact = exact | ((F.col("field_name") == f) & F.col("value").isin(names))
-    return long.filter(F.col("value").rlike(r"[^\s\p{Z}]") & ~exact)
+    long = df.select(*keys, every).select(*keys, "x.field_name", "x.value").filter(F.col("value").rlike(r"[^\s\p{Z}]"))
+    exact = df.sparkSession.createDataFrame([(f, c) for _, f, c, _ in entries if f in fields], "__field string, __name string")
+    return long.join(exact, (long["field_name"] == exact["__field"]) & (long["value"] == exact["__name"]), "left_anti")

@@ -16,6 +16,8 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vdjlake.storage import cut, discard
+
 #: Nothing needs to be finer: a bucket holds 1/4096 of the rows by chance, a twentieth of a support of 0.5 %.
 BUCKETS, HASHES = 4096, 3
 
@@ -43,8 +45,7 @@ def frequent_values(
     expression for each reported name; null means missing and counts nowhere, an empty string is a value. Ties at the
     threshold all come out. A table without rows, or a field that is always null, gives no rows.
 
-    What reaches the driver are the bucket counts, whose number doesn't depend on the data; of them at most 1 / support
-    a field and hash are heavy. Partial counts are made before each shuffle, so a value in a third of all rows moves as one row a task.
+    What reaches the driver are the heavy buckets, at most 1 / support of them a field and hash. Partial counts are made before each shuffle, so a value in a third of all rows moves as one row a task.
     """
     if not 0 < support <= 1 or hashes < 1:
         raise ValueError("support must be in (0, 1], and there must be a hash")
@@ -52,16 +53,17 @@ def frequent_values(
     buckets = max(buckets, 16 * ceil(1 / share))
     pairs = F.explode(F.array(*(F.struct(F.lit(name).alias("field_name"), e.cast("string").alias("item")) for name, e in fields.items())))
     values = df.select(pairs.alias("x")).select("x.field_name", "x.item").filter("item IS NOT NULL")
-    counts = bucket_counts(values, hashes, buckets).collect()  # fields x hashes x buckets numbers at most
-    totals: dict[str, int] = defaultdict(int)
-    for r in counts:
-        if r["hash_no"] == 0:  # the buckets of one hash add up to the rows of the field
-            totals[r["field_name"]] += r["n"]
+    counts = cut(bucket_counts(values, hashes, buckets), "buckets")
+    # the buckets of one hash add up to the rows of the field
+    totals = {r["field_name"]: r["n"] for r in counts.filter("hash_no = 0").groupBy("field_name").agg(F.sum("n").alias("n")).collect()}
     least = {name: max(1, ceil(share * n)) for name, n in totals.items()}
+    enough = F.lit(False)
+    for name, t in least.items():
+        enough = enough | ((F.col("field_name") == name) & (F.col("n") >= t))
     heavy: dict[tuple[str, int], list[int]] = defaultdict(list)
-    for r in counts:
-        if r["n"] >= least[r["field_name"]]:
-            heavy[r["field_name"], r["hash_no"]].append(r["bucket"])
+    for r in counts.filter(enough).collect():  # 1 / support a field and hash at most
+        heavy[r["field_name"], r["hash_no"]].append(r["bucket"])
+    discard(counts)
     survives, threshold, rows = F.lit(False), F.lit(None).cast("long"), F.lit(None).cast("long")
     for name, t in least.items():
         all_heavy = F.col("field_name") == name

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vdjlake.llm.tokens import DEFAULT_VOCABULARY, encoding
-from vdjlake.storage import cut
+from vdjlake.storage import cut, discard
 
 #: Texts in a block of a flight: one task's memory.
 BLOCK = 20_000
@@ -75,13 +75,6 @@ def landing(p: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     out = np.round(p)
     if not len(open_):
         return out
-    if len(open_) > 12:  # only without a reserve can there be more: largest first, each towards the goal
-        missing = 0.0
-        for k in open_[np.argsort(-tokens[open_], kind="stable")]:
-            want = missing + p[k] * tokens[k]
-            out[k] = float(want >= tokens[k] / 2)
-            missing = want - out[k] * tokens[k]
-        return out
     goal, count = float((p * tokens)[open_].sum()), float(p[open_].sum())
     best = min(product((0.0, 1.0), repeat=len(open_)), key=lambda r: (abs(float(np.dot(r, tokens[open_])) - goal), abs(sum(r) - count), r))
     out[open_] = best
@@ -98,7 +91,8 @@ def settle(p: np.ndarray, tokens: np.ndarray, reserve: np.ndarray, rng: np.rando
     goal = float((p * tokens).sum())
     out = p.copy()
     left = ~reserve
-    out[left] = landing(p[left], tokens[left])
+    # a flight leaves two open, so that landing can try all roundings
+    out[left] = landing(flight(p[left], np.column_stack([tokens[left], np.ones(left.sum())]), rng), tokens[left])
     r = np.flatnonzero(reserve)
     if not len(r):
         return np.round(out)
@@ -126,21 +120,19 @@ def settle(p: np.ndarray, tokens: np.ndarray, reserve: np.ndarray, rng: np.rando
 def sized_texts(documents: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
     """One row for each different text of a source: source, doc_id (the least), tokens.
 
-    A text repeated under other ids is one text. Null and blank texts are left out, and rows without a source.
+    A text repeated under other ids is one text; texts are told apart by two 64-bit hashes, so that only these and the
+    tokens are shuffled. Null and blank texts are left out, and rows without a source.
     """
-    once = (
-        documents.filter(F.col("source").isNotNull() & F.col("text").rlike(r"[^\s\p{Z}]"))
-        .groupBy("source", "text")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("source", "doc_id", "text")
-    )
+    there = documents.filter(F.col("source").isNotNull() & F.col("text").rlike(r"[^\s\p{Z}]")).select("source", "doc_id", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoding(vocabulary)
         for b in batches:
-            yield pd.DataFrame({"source": b["source"], "doc_id": b["doc_id"], "tokens": [len(e.encode_ordinary(t)) for t in b["text"]]})
+            yield b.drop(columns="text").assign(tokens=[len(e.encode_ordinary(t)) for t in b["text"]])
 
-    return once.mapInPandas(run, "source string, doc_id bigint, tokens bigint")
+    hashed = there.select("source", "doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
+    sized = hashed.mapInPandas(run, "source string, doc_id bigint, h1 bigint, h2 bigint, tokens bigint")
+    return sized.groupBy("source", "h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.min("tokens").alias("tokens")).select("source", "doc_id", "tokens")
 
 
 def plan(totals: list[tuple[str, int, int]], targets: list[tuple[str, float, int]], size: int | None) -> pd.DataFrame:
@@ -158,12 +150,15 @@ def plan(totals: list[tuple[str, int, int]], targets: list[tuple[str, float, int
     wanted = most if size is None else min(float(size), most)
     frame["wanted_tokens"] = frame["reachable_share"] * wanted
     frame["rate"] = np.where(there, frame["wanted_tokens"] / np.maximum(frame["tokens"], 1), 0.0)
+    frame["expected_documents"] = frame["rate"] * frame["texts"]
     return frame
 
 
 def mix_sources(documents: DataFrame, targets: DataFrame, size: int | None = None, seed: int = 0, vocabulary: str = DEFAULT_VOCABULARY, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The chosen texts (source, doc_id, tokens, repeats) and the shares reached, one row for each target.
 
+    Beside the shares stand the documents that each source is expected to give, and those it gives.
+
     Shares are of tokens. A listed source without texts can't give its share; the others keep their proportions
     (``reachable_share``), and ``size`` beyond what the repeats allow is cut to that. Unlisted sources aren't used.
     A source listed twice is an error. Empty tables give no texts and shares of 0.
@@ -181,7 +176,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, size: int | None = Non
     rates = spark.createDataFrame([(s, float(r)) for s, r in zip(frame["source"], frame["rate"])] or [], "source string, rate double")
     state = sized.join(F.broadcast(rates), "source").select("source", "doc_id", "tokens", F.floor("rate").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"))
     sizes = spark.createDataFrame([(s, float(t) / n, min(1.0, 2.0 * RESERVE / n)) for s, n, t in totals] or [], "source string, mean double, portion double")
-    by_hash = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) / F.lit(1_000_000)
+    by_hash = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     state = state.join(F.broadcast(sizes), "source").withColumn("reserve", (F.col("tokens") <= F.col("mean")) & (by_hash < F.col("portion"))).drop("mean", "portion")
     state = cut(state, "state")
     columns = ["source", "doc_id", "tokens", "p", "reserve"]
@@ -198,6 +193,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, size: int | None = Non
         return run
 
     # flights in blocks of one source, over which its rows are spread evenly by hash, until one block would do
+    flights: list[DataFrame] = []
     done, open_ = [], state.filter("NOT reserve").select(*columns)
     most = max([n for _, n, _ in totals], default=0)
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -207,22 +203,26 @@ def mix_sources(documents: DataFrame, targets: DataFrame, size: int | None = Non
         # a flight is work, not bytes: a number of tasks that isn't lowered for small partitions
         spread = open_.withColumn("__block", near).repartition(tasks, "source", "__block")
         flown = cut(spread.groupBy("source", "__block").applyInPandas(fly(False), schema), "flight")
+        flights.append(flown)
         done.append(flown.filter(f"p <= {EPS} OR p >= 1 - {EPS}"))
         open_ = flown.filter(f"p > {EPS} AND p < 1 - {EPS}")
         most = 3 * blocks if blocks > 1 else 0  # three open texts a block at most
     last = open_.unionByName(state.filter("reserve").select(*columns))
-    done.append(cut(last.groupBy("source").applyInPandas(fly(True), schema), "landing"))
+    flights.append(cut(last.groupBy("source").applyInPandas(fly(True), schema), "landing"))
+    done.append(flights[-1])
     extra = done[0]
     for d in done[1:]:
         extra = extra.unionByName(d)
     chosen = extra.join(F.broadcast(rates), "source").select("source", "doc_id", "tokens", (F.floor("rate") + F.round("p")).cast("int").alias("repeats")).filter("repeats > 0")
     chosen = cut(chosen, "mixture")
-    used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("used_tokens"), F.count(F.lit(1)).alias("used_texts"), F.max("repeats").alias("most_repeats"))
-    goals = spark.createDataFrame([(s, float(w), int(m), float(r)) for s, w, m, r in zip(frame["source"], frame["target_share"], frame["max_repeats"], frame["reachable_share"])] or [], "source string, target_share double, max_repeats int, reachable_share double")
+    for t in (sized, state, *flights):
+        discard(t)
+    used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("used_tokens"), F.count(F.lit(1)).alias("used_texts"), F.sum("repeats").alias("used_documents"), F.max("repeats").alias("most_repeats"))
+    goals = spark.createDataFrame([(s, float(w), int(m), float(r), float(d)) for s, w, m, r, d in zip(frame["source"], frame["target_share"], frame["max_repeats"], frame["reachable_share"], frame["expected_documents"])] or [], "source string, target_share double, max_repeats int, reachable_share double, expected_documents double")
     total = used.agg(F.sum("used_tokens")).first()[0] or 0
     zero = lambda c: F.coalesce(c, F.lit(0))
     shares = goals.join(used, "source", "left").select(
-        "source", "target_share", "reachable_share", "max_repeats", zero("used_texts").alias("used_texts"), zero("most_repeats").alias("most_repeats"),
+        "source", "target_share", "reachable_share", "max_repeats", "expected_documents", zero("used_documents").alias("used_documents"), zero("used_texts").alias("used_texts"), zero("most_repeats").alias("most_repeats"),
         zero("used_tokens").alias("used_tokens"), (zero("used_tokens") / F.lit(max(int(total), 1))).alias("actual_share"),
     )
     return chosen, shares

@@ -90,8 +90,8 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p4_values(spark: SparkSession, base: str) -> DataFrame:
-    """Every typed value with its entry (0: none) and how often it stands; values without one are the report."""
-    return _mapped(spark, base).groupBy("field_name", "value", "ref_id", "how").agg(F.count(F.lit(1)).alias("num_rows"))
+    """Every typed value with its entry (0: none), all entries it mentions, and how often it stands; values without one are the report."""
+    return _mapped(spark, base).groupBy("field_name", "value", "ref_id", "how", F.array_join("mentions", ",").alias("mentions")).agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 def _budgets(spark: SparkSession, base: str) -> list[tuple[str, int]]:
