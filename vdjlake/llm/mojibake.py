@@ -12,6 +12,7 @@ Each stretch labelled with a pair is then replaced by that state's inverse trans
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vdjlake.storage import cut
+from vdjlake.storage import cut, discard
 
 #: Single-byte encodings that texts of European languages are written in or mistaken for; fixed values.
 SINGLE_BYTE = (
@@ -35,8 +36,10 @@ DROPPING = ("cp1252", "latin_1", "cp1250", "cp1251")
 LOST = "lost"
 ORDERS, SLOTS = (2, 3, 4), 1 << 19
 SMOOTHING = 1.5
+#: What a letter that was never seen counts, and the sum of these.
+UNSEEN, FLOOR = 0.05, 200
 ROUNDS = 2
-CACHE = 200_000
+CACHE = 200_000  # words whose probability a worker remembers
 WORD = r"[^ \t\r\n]+"
 SEPARATORS = r"[ \t\r\n]+"
 #: Between single-byte encodings, a word doesn't become blank or control characters.
@@ -93,6 +96,7 @@ class CleanModel:
         beyond = sum(n for c, n in letters.items() if ord(c) > 127)
         # characters that make up a hundred-thousandth of those beyond ASCII, at least; decodings to others don't count
         self.alphabet = frozenset(c for c, n in letters.items() if ord(c) > 127 and n >= max(2, beyond * 1e-5))
+        self.surprise = -log(UNSEEN / (self.total + FLOOR))
         self.memo: dict[str, float] = {}
 
     def log_probability(self, word: str) -> float:
@@ -103,7 +107,7 @@ class CleanModel:
         total = 0.0
         two, three, four = self.tables[2], self.tables[3], self.tables[4]
         for i in range(3, len(text)):
-            p = (self.letters.get(text[i], 0) + 0.05) / (self.total + 200)
+            p = (self.letters.get(text[i], 0) + UNSEEN) / (self.total + FLOOR)
             for table, k in ((two, 1), (three, 2), (four, 3)):
                 context = text[i - k : i]
                 n = table[_slot(context + "\x00" * 1)]  # how often the context stands before anything
@@ -116,10 +120,17 @@ class CleanModel:
         return total
 
 
+@lru_cache(maxsize=None)
+def _script(letter: str) -> str:
+    """First word of the name of a letter: its script. Symbols named after a letter, such as micro, are of none."""
+    name = unicodedata.name(letter, "")
+    return name.split(" ")[0] if name.startswith(("LATIN", "CYRILLIC")) else ""
+
+
 def _shape(word: str) -> float:
     """Log probability of the pattern of small and capital letters."""
     letters = [c for c in word if c.isalpha()]
-    scripts = {"c" if "Ѐ" <= c <= "ӿ" else "l" for c in letters if c not in "µβκλΔ"}
+    scripts = {_script(c) for c in letters} - {""}
     cost = -4.0 if len(scripts) > 1 else 0.0
     if len(letters) < 2 or word.islower():
         return cost
@@ -178,16 +189,23 @@ class States:
         self.single = [(w, r) for w in SINGLE_BYTE for r in SINGLE_BYTE if w != r and wanted(f"{w}>{r}")]
         self.wanted = wanted
         self.readers = {r: frozenset(byte_of(r)) for r in SINGLE_BYTE}
+        self.pairs = {(w, r): self._inverse(w, r) for w, r in self.single}
         steps = [(r,) for r in DROPPING] + [(r, s) for r in SINGLE_BYTE for s in DROPPING]
         self.lossy = {">".join(("utf_8", *s, "dropped")): Pieces(s, model.alphabet) for s in steps if wanted(">".join(("utf_8", *s, "dropped")))}
 
+    def _inverse(self, written: str, read: str) -> tuple[frozenset[str], dict[int, str]]:
+        """The characters beyond ASCII whose inverse is plausible in a word, and all inverses."""
+        back = {c: reader_table(written)[b] for c, b in byte_of(read).items() if ord(c) > 127}
+        return frozenset(c for c, x in back.items() if self.plausible(x) and not BLANK.search(x)), {ord(c): x for c, x in back.items()}
+
     def plausible(self, text: str) -> bool:
         return all(ord(c) < 128 or c in self.model.alphabet for c in text.lower())
 
     def decodings(self, word: str) -> dict[str, tuple[str, float]]:
         """state -> (decoded word, log-likelihood ratio against clean); equal decodings stay with the first state."""
-        if "�" in word:
-            return {LOST: (word, 25.0)}
+        if n := word.count("�"):
+            # the state emits the character for sure, the clean one as any that it never has
+            return {LOST: (word, n * self.model.surprise)}
         found: dict[str, str] = {}
         seen: set[str] = set()
         beyond = frozenset(c for c in word if ord(c) > 127)
@@ -206,9 +224,9 @@ class States:
             for q in self.utf8 if inner else ():
                 if inner <= self.readers[q] and (u := unread(t, "utf_8", q)) is not None:
                     keep(f"utf_8>{q}>{r}", u)
-        for w, r in self.single:
-            if r in fits:
-                keep(f"{w}>{r}", unread(word, w, r) or word)
+        for (w, r), (good, back) in self.pairs.items():
+            if beyond <= good:
+                keep(f"{w}>{r}", word.translate(back))
         clean = self.model.log_probability(word)
         out = {s: (t, self.model.log_probability(t) - clean) for s, t in found.items()}
         if not any(g > 3 for _, g in out.values()):
@@ -324,6 +342,7 @@ def fit(documents: DataFrame, rounds: int = ROUNDS) -> Garbling:
     spark = documents.sparkSession
     words = cut(word_counts(documents), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
+    used = [words]
     current = Garbling(fit_clean(words.filter(~F.contains("word", F.lit("�")))), None, None)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(current)  # of fixed size: n-gram tables and letters
@@ -340,55 +359,89 @@ def fit(documents: DataFrame, rounds: int = ROUNDS) -> Garbling:
         # a state that no word is in drops out; the rest cost what their frequency says, within bounds
         cost = {s: min(9.0, max(first_cost(s), -log((n + 0.5) / (total + 1)))) for s, n in counts.items()}
         current = Garbling(fit_clean(labelled.filter("state = ''")), cost, frozenset(counts) | {LOST})
+        used.append(labelled)
+    for t in used:
+        discard(t)
     return current
 
 
-def _restore(text: str, model: Garbling, memo: dict) -> tuple[list[tuple[int, int, str]], str, bool]:
-    """Labelled stretches (start, end, state), the restored text, and whether all stretches could be restored."""
+def _restore(text: str, model: Garbling, known: dict[str, dict[str, tuple[str, float]]]) -> tuple[list[tuple[int, int, str]], str, bool]:
+    """Labelled stretches (start, end, state), the restored text, and whether all stretches could be restored.
+
+    ``known``: decodings of words; others are added to it.
+    """
     spans = [m.span() for m in re.finditer(WORD, text) if not m.group().isascii()]
     found = []
     for a, b in spans:
         word = text[a:b]
-        if word not in memo:
-            if len(memo) >= CACHE:
-                memo.clear()
-            memo[word] = model.states().decodings(word)
-        found.append(memo[word])
+        if word not in known:
+            known[word] = model.states().decodings(word)
+        found.append(known[word])
     labels = label(found, model.cost)
     out, at, whole, marked = [], 0, True, []
     for (a, b), d, s in zip(spans, found, labels):
         if s is None:
             continue
         marked.append((a, b, s))
-        if s == LOST or s.endswith("dropped"):
-            whole = False  # bytes are gone; the stretch is left as it is
+        if s == LOST or s not in d:
+            whole = False  # what stood there is gone; the stretch is left as it is
             continue
+        whole = whole and not s.endswith("dropped")  # the likeliest original, but bytes are gone
         out += [text[at:a], d[s][0]]
         at = b
     return marked, "".join([*out, text[at:]]), whole
 
 
+def suspects(words: DataFrame, model: Garbling, tasks: int) -> DataFrame:
+    """The distinct words in ``word`` that some state explains better than the clean one, with their decodings: word,
+    states, texts, gains. Each word is decoded once."""
+    shared = words.sparkSession.sparkContext.broadcast(model)  # of fixed size: n-gram tables and letters
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states = shared.value.states()
+        for b in batches:
+            rows = []
+            for w in b["word"]:
+                d = states.decodings(w)
+                if any(g > 0 for _, g in d.values()):
+                    rows.append((w, list(d), [t for t, _ in d.values()], [float(g) for _, g in d.values()]))
+            yield pd.DataFrame(rows, columns=["word", "states", "texts", "gains"])
+
+    # decoding is the work, not the few bytes of a word: a number of tasks that isn't lowered for small partitions
+    return words.select("word").repartition(tasks, "word").mapInPandas(run, "word string, states array<string>, texts array<string>, gains array<double>")
+
+
 def garbled_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", model: Garbling | None = None) -> DataFrame:
     """The documents with a garbled stretch: key, num_words, states, restored_text, fully_restored.
 
     ``num_words`` are the words labelled, ``states`` their encoding pairs as ``written>read``, sorted, by commas.
-    Stretches whose bytes were dropped or replaced stay as they are and make ``fully_restored`` false. Null, empty and
-    plain ASCII texts are clean. Repeated texts are treated alike. Whole texts are read, however long.
+    Stretches with replaced bytes stay as they are, those with dropped bytes become their likeliest original; both make
+    ``fully_restored`` false. Null, empty and plain ASCII texts are clean. Repeated texts are treated alike. Whole texts
+    are read, however long. Rows with one key are each labelled; a null is a key too.
+
+    Distinct words are decoded once. Only documents with a word that a garbled state explains better go to the labelling.
     """
     plain = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.col("text").rlike(r"[^\x00-\x7f]"))
     fitted = model or fit(plain.select("text"))
-    shared = documents.sparkSession.sparkContext.broadcast(fitted)
+    spark = documents.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    decoded = cut(suspects(word_counts(plain), fitted, tasks), "suspects")
+    in_text = plain.select("key", F.explode(F.array_distinct(F.split("text", SEPARATORS))).alias("word")).filter(F.col("word").rlike(r"[^\x00-\x7f]"))
+    of_text = in_text.join(decoded, "word").groupBy(F.col("key").alias("__key")).agg(F.collect_list(F.struct("word", "states", "texts", "gains")).alias("words"))  # of one text
+    shared = spark.sparkContext.broadcast(fitted)
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, memo = shared.value, {}
+        at = shared.value
         for b in batches:
             rows = []
-            for k, t in zip(b["key"], b["text"]):
-                marked, restored, whole = _restore(t, at, memo)
+            for k, t, words in zip(b["key"], b["text"], b["words"]):
+                known = {w["word"]: dict(zip(w["states"], zip(w["texts"], w["gains"]))) for w in words}
+                marked, restored, whole = _restore(t, at, known)
                 if marked:
                     rows.append((k, len(marked), ",".join(sorted({s for _, _, s in marked})), restored, whole))
             yield pd.DataFrame(rows, columns=["key", "num_words", "states", "restored_text", "fully_restored"])
 
-    out = plain.mapInPandas(run, f"key {kind}, num_words int, states string, restored_text string, fully_restored boolean")
+    marked_texts = plain.join(of_text, F.col("key").eqNullSafe(F.col("__key"))).drop("__key")
+    out = marked_texts.mapInPandas(run, f"key {kind}, num_words int, states string, restored_text string, fully_restored boolean")
     return out.withColumnRenamed("key", key)
