@@ -39,7 +39,7 @@ SMOOTHING = 1.5
 #: What a letter that was never seen counts, and the sum of these.
 UNSEEN, FLOOR = 0.05, 200
 ROUNDS = 2
-CACHE = 200_000  # words whose probability a worker remembers
+CACHE = 200_000  # words that a worker remembers
 WORD = r"[^ \t\r\n]+"
 SEPARATORS = r"[ \t\r\n]+"
 #: Between single-byte encodings, a word doesn't become blank or control characters.
@@ -245,12 +245,16 @@ def first_cost(state: str) -> float:
     return 2.5 if state.startswith("utf_8") else 4.5
 
 
+def enter_cost(state: str, cost: dict[str, float]) -> float:
+    return cost.get(state, first_cost(state) + 3.0)
+
+
 def label(words: list[dict[str, tuple[str, float]]], cost: dict[str, float]) -> list[str | None]:
     """The likeliest states of a text's words beyond ASCII (Viterbi); None is clean."""
     names = sorted({s for d in words for s, (_, g) in d.items() if g > 0})
     if not names:
         return [None] * len(words)
-    enter = {s: cost.get(s, first_cost(s) + 3.0) for s in names}
+    enter = {s: enter_cost(s, cost) for s in names}
     leave, stay = 0.5, 0.1
     score: dict[str | None, float] = {None: 0.0, **{s: -enter[s] for s in names}}
     back: list[dict[str | None, str | None]] = []
@@ -393,22 +397,17 @@ def _restore(text: str, model: Garbling, known: dict[str, dict[str, tuple[str, f
 
 
 def suspects(words: DataFrame, model: Garbling, tasks: int) -> DataFrame:
-    """The distinct words in ``word`` that some state explains better than the clean one, with their decodings: word,
-    states, texts, gains. Each word is decoded once."""
+    """The distinct words in ``word`` that a garbled state explains better than the clean one: word, state, gain, cost."""
     shared = words.sparkSession.sparkContext.broadcast(model)  # of fixed size: n-gram tables and letters
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states = shared.value.states()
+        at = shared.value
         for b in batches:
-            rows = []
-            for w in b["word"]:
-                d = states.decodings(w)
-                if any(g > 0 for _, g in d.values()):
-                    rows.append((w, list(d), [t for t, _ in d.values()], [float(g) for _, g in d.values()]))
-            yield pd.DataFrame(rows, columns=["word", "states", "texts", "gains"])
+            rows = [(w, s, float(g), float(enter_cost(s, at.cost))) for w in b["word"] for s, (_, g) in at.states().decodings(w).items() if g > 0]
+            yield pd.DataFrame(rows, columns=["word", "state", "gain", "cost"])
 
     # decoding is the work, not the few bytes of a word: a number of tasks that isn't lowered for small partitions
-    return words.select("word").repartition(tasks, "word").mapInPandas(run, "word string, states array<string>, texts array<string>, gains array<double>")
+    return words.select("word").repartition(tasks, "word").mapInPandas(run, "word string, state string, gain double, cost double")
 
 
 def garbled_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", model: Garbling | None = None) -> DataFrame:
@@ -419,29 +418,32 @@ def garbled_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     ``fully_restored`` false. Null, empty and plain ASCII texts are clean. Repeated texts are treated alike. Whole texts
     are read, however long. Rows with one key are each labelled; a null is a key too.
 
-    Distinct words are decoded once. Only documents with a word that a garbled state explains better go to the labelling.
+    A state is entered only where the words that it explains better outweigh the cost of entering. Distinct words are
+    decoded once to find the documents in which any state's words do; only these go to the labelling.
     """
     plain = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.col("text").rlike(r"[^\x00-\x7f]"))
     fitted = model or fit(plain.select("text"))
     spark = documents.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     decoded = cut(suspects(word_counts(plain), fitted, tasks), "suspects")
-    in_text = plain.select("key", F.explode(F.array_distinct(F.split("text", SEPARATORS))).alias("word")).filter(F.col("word").rlike(r"[^\x00-\x7f]"))
-    of_text = in_text.join(decoded, "word").groupBy(F.col("key").alias("__key")).agg(F.collect_list(F.struct("word", "states", "texts", "gains")).alias("words"))  # of one text
+    in_text = plain.select("key", F.explode(F.split("text", SEPARATORS)).alias("word")).filter(F.col("word").rlike(r"[^\x00-\x7f]"))
+    outweigh = in_text.join(decoded, "word").groupBy("key", "state").agg((F.sum("gain") > F.max("cost") - 1e-6).alias("enough")).filter("enough")
+    likely = outweigh.select(F.col("key").alias("__key")).distinct()
     shared = spark.sparkContext.broadcast(fitted)
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at = shared.value
+        at, known = shared.value, {}
         for b in batches:
             rows = []
-            for k, t, words in zip(b["key"], b["text"], b["words"]):
-                known = {w["word"]: dict(zip(w["states"], zip(w["texts"], w["gains"]))) for w in words}
+            for k, t in zip(b["key"], b["text"]):
+                if len(known) > CACHE:
+                    known.clear()
                 marked, restored, whole = _restore(t, at, known)
                 if marked:
                     rows.append((k, len(marked), ",".join(sorted({s for _, _, s in marked})), restored, whole))
             yield pd.DataFrame(rows, columns=["key", "num_words", "states", "restored_text", "fully_restored"])
 
-    marked_texts = plain.join(of_text, F.col("key").eqNullSafe(F.col("__key"))).drop("__key")
+    marked_texts = plain.join(likely, F.col("key").eqNullSafe(F.col("__key")), "left_semi")
     out = marked_texts.mapInPandas(run, f"key {kind}, num_words int, states string, restored_text string, fully_restored boolean")
     return out.withColumnRenamed("key", key)
