@@ -197,6 +197,9 @@ def map_values(values: DataFrame, entries: Sequence[tuple[int, str, str, Sequenc
             hits = [matchers[f].match_all(v) if f in matchers else (UNMATCHED, "none", []) for f, v in zip(b["__field"], b["__value"])]
             yield b.assign(ref_id=[h[0] for h in hits], how=[h[1] for h in hits], mentions=pd.Series([h[2] for h in hits], index=b.index, dtype="object"))
 
+    # matching is the work, not the few bytes of a value: a number of tasks that isn't lowered for small partitions
+    spark = values.sparkSession
+    once = once.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "__field", "__value")
     schema = T.StructType([*once.schema.fields, T.StructField("ref_id", T.LongType()), T.StructField("how", T.StringType()), T.StructField("mentions", T.ArrayType(T.LongType()))])
     matched = once.mapInPandas(run, schema)
     both = kept.join(matched, (kept[field] == matched["__field"]) & (kept[value] == matched["__value"]), "left")
