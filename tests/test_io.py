@@ -163,3 +163,21 @@ def test_command_line(spark, folder):
         cli.main(["copy"])
     with pytest.raises(FileNotFoundError):
         cli.main(["check-units", f"{folder}/nothing*"])
+
+
+def test_null_units_are_written_and_logged(spark, folder):
+    rows = _records(spark).withColumn("unit_id", F.when(F.col("index_in_unit") % 4 == 3, None).otherwise(F.col("unit_id")))
+    two = spark.createDataFrame([("paired", "s", "u", "A"), ("paired", "s", None, "B")], "oas_subset string, study_id string, unit_id string, sequence_aa string")
+    sinks.write_sequences(two, f"{folder}/two")
+    assert spark.read.parquet(f"{folder}/two").count() == 2
+    base = sinks.copy_dataset(spark, rows, folder, "default", units=rows.select(*UNIT_KEY).distinct())
+    log = spark.read.parquet(f"{base}/logs")
+    assert log.filter("unit_id IS NULL AND step = 8 AND filtered_length > 0").count() == 1 and spark.read.parquet(f"{base}/sequences").count() == 150
+    assert spark.read.parquet(f"{base}/units").filter("unit_id IS NULL").count() == 1
+
+
+def test_stream_keeps_rows_without_a_value(spark, folder):
+    df = spark.createDataFrame([("A",), ("A",), (None,), (None,), ("",), ("",)], "sequence_aa string")
+    df.coalesce(1).write.parquet(f"{folder}/in/a")
+    ingest(first_seen(file_stream(spark, f"{folder}/in/*", df.schema)), f"{folder}/out", f"{folder}/state").awaitTermination()
+    assert sorted(str(r[0]) for r in spark.read.parquet(f"{folder}/out").select("sequence_aa").collect()) == ["", "", "A", "None", "None"]

@@ -224,21 +224,51 @@ def test_numbering_whole_loses_no_residue(rows, folder):
     assert got[9]["positions"] == ",".join(map(str, range(104, 119))) and not got[9]["has_insertions"]
 
 
-def test_position_matrix_whole_has_every_residue(rows, folder):
+def test_position_matrix_has_every_residue(rows, folder):
     from vdjlake.plans.repertoire import QUERIES
 
     base = _tables(folder, sequences=rows([("heavy", stats.AMINO_ACIDS), ("heavy", "YJ"), ("light", None)], "chain string, junction_aa string"))
-    got = {r["position"]: r.asDict() for r in QUERIES["position_matrix_whole"](rows([], "x int").sparkSession, base).collect()}
+    got = {r["position"]: r.asDict() for r in QUERIES["position_matrix"](rows([], "x int").sparkSession, base).collect()}
     assert set(stats.AMINO_ACIDS) <= set(got["1"])
     assert {k: v for k, v in got["1"].items() if v} == {"chain": "heavy", "position": "1", "region": "fwr1", stats.AMINO_ACIDS[0]: 1, "Y": 1, "total": 2}
     # a letter that is no residue is in the total only
     assert sum(got["total"][r] for r in stats.AMINO_ACIDS) == len(stats.AMINO_ACIDS) + 1 and got["total"]["total"] == len(stats.AMINO_ACIDS) + 2
 
 
-def test_usable_units_whole_has_every_snapshot(rows, folder):
+def test_usable_units_has_every_snapshot(rows, folder):
     from vdjlake.plans.repertoire import QUERIES
 
     data = [(n, "paired", "s", u, e) for n in (1, 6, 17) for u, e in (("a", None), ("a", None), ("b", "gone"), (f"c{n}", None))]
     base = _tables(folder, unit_snapshots=rows(data, f"snapshot_no int, {UNIT}, download_error string"))
-    got = [(r["snapshot_no"], r["unit_id"]) for r in QUERIES["usable_units_whole"](rows([], "x int").sparkSession, base).collect()]
+    got = [(r["snapshot_no"], r["unit_id"]) for r in QUERIES["usable_units"](rows([], "x int").sparkSession, base).collect()]
     assert sorted(got) == [(1, "a"), (1, "c1"), (6, "a"), (6, "c6"), (17, "a"), (17, "c17")]
+
+
+def test_numbering_of_whole_sequences(rows, folder):
+    from vdjlake.plans.repertoire import QUERIES
+
+    seq = "".join("ADEFGHIKLMNPQRSTVWY"[i % 19] for i in range(133))
+    data = [(7, "light", "K", seq[:128]), (2, "heavy", "H", seq), (3, "heavy", "H", " c-" + seq[:40].lower()), (4, "heavy", None, seq), (5, "heavy", "L", " "), (6, "heavy", "L", None), (22, "heavy", "L", seq[:110])]
+    schema = "record_id bigint, chain string, locus string, sequence_aa string, anarci_missing_conserved_cysteine boolean, anarci_unusual_residue boolean, anarci_deletions array<smallint>, anarci_insertions array<string>"
+    base = _tables(folder, sequences=rows([(*d, True, False, [9, 3, 9], None) for d in data], schema))
+    got = {r["record_id"]: r for r in QUERIES["numbering"](rows([], "x int").sparkSession, base).collect()}
+    assert sorted(got) == [2, 3, 4, 5, 6, 7, 22]
+    assert got[7]["sequence_aa"] == seq[:20] + "-" + seq[21:128] and got[7]["has_kappa_gap_21"] and got[7]["positions"] == ",".join(map(str, range(1, 129)))
+    assert got[2]["sequence_aa"] == seq and got[2]["positions"].split(",")[109:120] == ["110", "111", "111A", "111B", "112C", "112B", "112A", "112", "113", "114", "115"]
+    assert (got[2]["lengths"], got[2]["starts"], got[2]["has_wrong_cdr3_reconstruction"]) == ("26,12,17,10,39,18,11", "0,26,38,55,65,104,122", False)
+    assert got[3]["sequence_aa"] == "C" + seq[:40] and got[3]["lengths"] == "26,12,3,0,0,0,0" and got[3]["starts"] == "0,26,38,-1,-1,-1,-1" and got[3]["has_wrong_cdr3_reconstruction"]
+    assert [got[i]["numbering_error"] for i in (4, 5, 6)] == ["no locus", "no numbering", "no numbering"] and got[22]["has_wrong_cdr3_reconstruction"]
+    assert all(r["deletions"] == "3,9" and r["anarci_missing_conserved_cysteine"] and not r["anarci_unusual_residue"] for r in got.values())
+
+
+def test_first_rows_of_narrow_and_wide_tables_agree(spark):
+    rng = random.Random(5)
+    data = [(rng.choice("uv"), rng.choice(["A", "B", "", None]), i, rng.choice([None, 1, 4]), f"x{i % 7}") for i in range(300)]
+    df = spark.createDataFrame(data, "unit string, s string, i int, redundancy bigint, more string").repartition(5)
+    wide = dedup.merge_redundant(df, ["unit"], "s", ("i",), unique_order=True)
+    narrow = dedup.merge_redundant(df.drop("more"), ["unit"], "s", ("i",), unique_order=True)
+    assert sorted(map(str, wide.drop("more").collect())) == sorted(map(str, narrow.collect())) and wide.count() == 8
+    assert all(r["more"] == f"x{r['i'] % 7}" for r in wide.collect())
+    assert dedup.no_duplicates(df, "s", ["i"], unique_order=True).count() == 2 + sum(not d[1] for d in data)
+    plan = dedup.no_duplicates(df, "s", ["i"], unique_order=True).select("s")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

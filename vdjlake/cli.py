@@ -113,6 +113,7 @@ def parser() -> argparse.ArgumentParser:
     for name, f in COMMANDS.items():
         c = commands.add_parser(name, help=f.__doc__)
         c.add_argument("source", help="folder, or pattern of files")
+        c.add_argument("--shared", help="folder for intermediate tables, which all executors share")
         if name not in ("check-units", "check-status", "diagnose", "check-schema"):
             c.add_argument("target")
             c.add_argument("--mode", choices=("errorifexists", "overwrite"), default="errorifexists")
@@ -127,7 +128,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: Sequence[str] | None = None) -> int:
     a = parser().parse_args(arguments)
-    spark = build_session()
+    spark = build_session(shared=a.shared)
     ship(spark)
     COMMANDS[a.command](spark, a)
     return 0

@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 REGION_ENDS = {"fwr1": 26, "cdr1": 38, "fwr2": 55, "cdr2": 65, "fwr3": 104, "cdr3": 117, "fwr4": 128}
 #: Positions whose insertions run backwards, in records and in summaries.
 MIRRORED_IN_RECORDS, MIRRORED_IN_SUMMARIES = (62, 112), (112,)
-_POSITION = r"^(\d+)([A-Z]*)"
+POSITION = r"^(\d+)([A-Z]*)"
 
 
 def position_number(text: Column) -> Column:
     """The leading number; null where there is none."""
-    return F.regexp_extract(text, _POSITION, 1).try_cast("int")
+    return F.regexp_extract(text, POSITION, 1).try_cast("int")
 
 
 def position_insertion(text: Column) -> Column:
     """The letters after the number, empty for none."""
-    return F.regexp_extract(text, _POSITION, 2)
+    return F.regexp_extract(text, POSITION, 2)
 
 
 def insertion_code(insertion: Column, strict: bool = False) -> Column:

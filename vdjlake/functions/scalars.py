@@ -5,6 +5,7 @@ from __future__ import annotations
 from math import comb
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,15 +29,13 @@ def study_year(author: Column) -> Column:
     return F.right(F.trim(author), F.lit(4)).try_cast("bigint")
 
 
-#: Where words of a camel-cased name are parted, one after the other; fixed values.
-WORD_STARTS = (("(.)([A-Z][a-z]+)", "$1_$2"), ("__([A-Z])", "_$1"), (r"([a-z\d])([A-Z])", "$1_$2"))
-
-
 def snake_case(name: Column) -> Column:
-    """``CamelCase`` and ``camelHTTPCase`` as ``camel_case`` and ``camel_http_case``."""
-    for pattern, parted in WORD_STARTS:
-        name = F.regexp_replace(name, pattern, parted)
-    return F.lower(name)
+    """``CamelCase`` and ``camelHTTPCase`` as ``camel_case`` and ``camel_http_case``.
+
+    A word starts at a capital that follows a small letter or digit, and at one that small letters follow.
+    """
+    starts = r"(?<=[a-z0-9])(?=[A-Z])|(?<=[^_])(?=[A-Z][a-z])"
+    return F.lower(F.array_join(F.split(name, starts), "_"))
 
 
 def tf_flag(value: Column, strict: bool = True) -> Column:
@@ -47,8 +46,9 @@ def tf_flag(value: Column, strict: bool = True) -> Column:
 
 def loose_int(value: Column, kind: str = "int") -> Column:
     """Integers that may be written as ``33.0``; null where it isn't a whole number."""
-    number = value.try_cast("double")
-    return F.when(number == F.floor(number), number.try_cast(kind))
+    exact = F.nullif(F.regexp_extract(value, r"^\s*([+-]?\d+)(\.0*)?\s*$", 1), F.lit("")).try_cast(kind)
+    number = value.try_cast("double")  # other ways to write them, such as 1e3
+    return F.coalesce(exact, F.when((number == F.floor(number)) & (F.abs(number) < 2.0**53), number.try_cast(kind)))
 
 
 def mebibytes(size: Column) -> Column:
@@ -60,9 +60,9 @@ def floor_minute(when: Column) -> Column:
 
 
 def http_date(text: Column) -> Column:
-    """``Tue, 01 Feb 2022 10:11:12 GMT`` as a timestamp cut to the minute; null where it can't be read."""
+    """``Tue, 01 Feb 2022 10:11:12 GMT`` as a timestamp cut to the minute, in whatever zone the session is; null where it can't be read."""
     clean = F.regexp_extract(text, r"(\d{1,2} [A-Z][a-z]{2} \d{4} \d\d:\d\d:\d\d)", 1)
-    return floor_minute(F.try_to_timestamp(clean, F.lit("d MMM yyyy HH:mm:ss")))
+    return floor_minute(F.try_to_timestamp(F.concat(clean, F.lit(" +00:00")), F.lit("d MMM yyyy HH:mm:ss XXX")))
 
 
 def num_mutants(length: Column, mutations: Column, letters: int = 20) -> Column:
@@ -100,11 +100,17 @@ def portable_subset(value: Column, subsets: tuple[tuple[str, int], ...] = SUBSET
     return _by_bucket(F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint") % 100, subsets)
 
 
-@F.pandas_udf(T.LongType())
-def _xxh32(values: pd.Series, seeds: pd.Series) -> pd.Series:
-    import xxhash
+def _xxh32(value: Column, seed: int) -> Column:
+    """Unsigned 32-bit xxHash of a string, in Arrow batches."""
+
+    @F.arrow_udf(T.LongType())
+    def hashed(values: pa.Array) -> pa.Array:
+        import xxhash
+
+        digest = xxhash.xxh32_intdigest
+        return pa.array([None if v is None else digest(v, seed) for v in values.to_pylist()], pa.int64())
 
-    return pd.Series([None if v is None else xxhash.xxh32_intdigest(v, seed=int(s)) for v, s in zip(values, seeds)], dtype="Int64")
+    return hashed(value)
 
 
 @F.pandas_udf(T.DecimalType(20, 0))
@@ -119,4 +125,4 @@ def xxh3_64(values: pd.Series) -> pd.Series:
 
 def xxh32_subset(value: Column, seed: int = 0, subsets: tuple[tuple[str, int], ...] = SUBSETS) -> Column:
     """Split by xxh32 modulo 100, as models trained elsewhere expect it. Null stays null."""
-    return _by_bucket(_xxh32(value, F.lit(seed)) % 100, subsets)
+    return _by_bucket(_xxh32(value, seed) % 100, subsets)

@@ -53,7 +53,7 @@ def _fields(parts: Column, shorter: Column, strict: bool) -> Column:
     if strict:
         unknown = F.when(F.size(unknown) > 0, F.raise_error(F.concat(F.lit("unknown status: "), F.array_join(unknown, "; "))).cast("array<string>")).otherwise(unknown)
     deletions = F.array_sort(F.array_distinct(F.transform(F.filter(_listed(rules, "Deletions"), lambda x: x != ""), lambda x: x.try_cast("smallint"))))
-    inserted = F.concat(_listed(rules, "Insertion"), F.transform(F.filter(messages, lambda x: x.startswith("Insertion: ")), lambda x: F.substring(x, 12, 1000)))
+    inserted = F.concat(_listed(rules, "Insertion"), F.transform(F.filter(messages, lambda x: x.startswith("Insertion: ")), lambda x: F.substr(x, F.lit(12))))
     insertions = F.array_sort(F.array_distinct(F.filter(inserted, lambda x: x != "")))
     none_if_empty = lambda a: F.when(F.size(a) > 0, a)
     return F.struct(

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Origins whose file names have six parts; others with six are refused. Fixed values, by rule.
+#: Origins whose file names have six parts; others with six are refused. Fixed values.
 SIX_PART_ORIGINS = (
-    *(f"Mouse-{i}Richardson2022" for i in range(1, 8)),
-    *(f"schanz2014{i:02d}" for i in range(1, 11)),
-    *(f"rettig2018{i:02d}" for i in range(1, 9)),
-)
+    "Mouse-1Richardson2022", "Mouse-2Richardson2022", "Mouse-3Richardson2022", "Mouse-4Richardson2022", "Mouse-5Richardson2022",
+    "Mouse-6Richardson2022", "Mouse-7Richardson2022", "schanz201401", "schanz201402", "schanz201403", "schanz201404", "schanz201405", "schanz201406",
+    "schanz201407", "schanz201408", "schanz201409", "schanz201410", "rettig201801", "rettig201802", "rettig201803", "rettig201804", "rettig201805",
+    "rettig201806", "rettig201807", "rettig201808",
+)
 
 
 def fix_paired_url(url: Column, root: str) -> Column:

@@ -18,8 +18,6 @@ RENAMED = {
     "Vaccine": "vaccine", "Longitudinal": "longitudinal", "Chain": "chain", "Isotype": "isotype",
     "Unique sequences": "theoretical_num_sequences_unique", "Total sequences": "theoretical_num_sequences_total",
 }
-#: Small enough to send to every task: bytes that a table of units may have.
-UNITS_LIMIT = 64 << 20
 
 
 def nice_metadata(raw: DataFrame) -> DataFrame:
@@ -45,13 +43,15 @@ def usable_units(units: DataFrame, keep_missing: bool = False) -> DataFrame:
     return units if keep_missing else units.filter(F.col("download_error").isNull())
 
 
-def attach_units(rows: DataFrame, units: DataFrame, columns: Sequence[str], key: Sequence[str] = UNIT_KEY) -> DataFrame:
+def attach_units(rows: DataFrame, units: DataFrame, columns: Sequence[str], key: Sequence[str] = UNIT_KEY, order: str = "download_date") -> DataFrame:
     """``rows`` with ``columns`` of their unit; a clashing column of ``rows`` is replaced. Rows of no unit have nulls.
 
-    A unit that stands more than once lends its largest values, so that no row is doubled. Whether the units are sent
-    to all tasks is left to the planner, which knows their size.
+    A unit that stands more than once lends the values of one of its rows, so that no row is doubled: of the latest
+    ``order``, where the table has that column, and of the largest values among those. Whether the units are sent to all
+    tasks is left to the planner, which knows their size.
     """
-    once = units.groupBy(*key).agg(*(F.max(c).alias(c) for c in columns))
+    latest = [F.col(order).alias("__order")] if order in units.columns else []
+    once = units.groupBy(*key).agg(F.max(F.struct(*latest, *columns)).alias("__unit")).select(*key, *(F.col(f"__unit.{c}").alias(c) for c in columns))
     return rows.drop(*columns).join(once, list(key), "left")
 
 

@@ -17,7 +17,7 @@ from vdjlake.functions.urls import fix_paired_url, parse_unit_url
 from vdjlake.operators import dedup, filters, metadata, normalize, pairs, sampling, stats
 from vdjlake.schema import UNIT_KEY
 from vdjlake.sources.files import metadata_from_json
-from vdjlake.storage import shared_dir, table
+from vdjlake.storage import shared_dir, spread, table
 from vdjlake.streaming.ingest import file_stream, first_seen, ingest, windowed_counts
 
 QUERIES: dict = {}
@@ -68,22 +68,28 @@ _FILTERS = {
     "filter_no_missing_conserved_cysteine": (filters.no_missing_conserved_cysteine(), "NOT anarci_missing_conserved_cysteine"),
     "filter_no_unusual_residues": (filters.no_unusual_residues(), "NOT anarci_unusual_residue"),
     "filter_count_threshold": (filters.count_threshold(2), "redundancy >= 2"),
-    "filter_no_naive": (filters.no_naive(3, "sequence_aa", "junction_aa"), None),
 }
 for _name, (_step, _where) in _FILTERS.items():
     QUERIES[_name] = lambda spark, base, step=_step: step(sequences(spark, base)).select("record_id")
     if _where:
         ORACLE_SQL[_name] = f"SELECT record_id FROM sequences WHERE {_where}"
-ORACLE_SQL["filter_no_naive"] = """
-SELECT record_id FROM sequences
-WHERE len(list_filter(range(1, least(length(sequence_aa), length(junction_aa)) + 1), lambda i:
-      sequence_aa[i] NOT IN ('-', '.', 'X') AND junction_aa[i] NOT IN ('-', '.', 'X') AND sequence_aa[i] <> junction_aa[i])) >= 3"""
+
+
+@query("""WITH g AS (SELECT v_call, min(sequence_aa) AS germline FROM sequences WHERE sequence_aa <> '' GROUP BY 1)
+SELECT record_id FROM sequences JOIN g USING (v_call)
+WHERE len(list_filter(range(1, least(length(sequence_aa), length(germline)) + 1), lambda i:
+      sequence_aa[i] NOT IN ('-', '.', 'X') AND germline[i] NOT IN ('-', '.', 'X') AND sequence_aa[i] <> germline[i])) >= 15""")
+def filter_no_naive(spark: SparkSession, base: str) -> DataFrame:
+    """Mismatches with the germline of the gene, for which, as the table has none, the least sequence of the gene stands."""
+    df = table(spark, base, "sequences", "record_id", "v_call", "sequence_aa")
+    germline = df.filter("sequence_aa <> ''").groupBy("v_call").agg(F.min("sequence_aa").alias("germline"))
+    return filters.no_naive(15, "sequence_aa", "germline")(df.join(germline, "v_call")).select("record_id")
 
 
 @query("""SELECT s.record_id FROM sequences s WHERE (SELECT max(isotype) FROM unit_metadata u
   WHERE u.oas_subset = s.oas_subset AND u.study_id = s.study_id AND u.unit_id = s.unit_id) IN ('IGHM', 'IGHG')""")
 def filter_only_isotypes(spark: SparkSession, base: str) -> DataFrame:
-    units = table(spark, base, "unit_metadata", *UNIT, "isotype")
+    units = table(spark, base, "unit_metadata", *UNIT, "download_date", "isotype")
     return filters.only_isotypes(("IGHM", "IGHG"))(metadata.attach_units(table(spark, base, "sequences", *UNIT, "record_id"), units, ["isotype"])).select("record_id")
 
 
@@ -106,30 +112,30 @@ _KEPT = "record_id, redundancy"
 
 def _steps(name: str) -> list[filters.RowFilter]:
     """A named pipeline whose order ends with record_id, as records are delivered repeatedly."""
-    order = [F.col(c) for c in (*UNIT, *ORDER)]  # 'paired' sorts before 'unpaired'
-    swap = {"NoDuplicates": filters.dedup_step(order=order), "MergeRedundant(use_all_known=False)": filters.merge_step(order=ORDER)}
+    # 'paired' sorts before 'unpaired'
+    swap = {"NoDuplicates": filters.dedup_step(order=[*UNIT, *ORDER], unique_order=True), "MergeRedundant(use_all_known=False)": filters.merge_step(order=ORDER, unique_order=True)}
     return [swap.get(s.name, s) for s in filters.pipeline(name)]
 
 
 @query(f"SELECT {_KEPT} FROM " + _MERGE.format(src="sequences"))
 def merge_redundant(spark: SparkSession, base: str) -> DataFrame:
-    return dedup.merge_redundant(table(spark, base, "sequences", *UNIT, *ORDER, "sequence_aa", "redundancy"), order=ORDER).select("record_id", "redundancy")
+    return dedup.merge_redundant(table(spark, base, "sequences", *UNIT, *ORDER, "sequence_aa", "redundancy"), order=ORDER, unique_order=True).select("record_id", "redundancy")
 
 
 @query(f"SELECT {_KEPT} FROM " + _DEDUP.format(src="sequences"))
 def no_duplicates(spark: SparkSession, base: str) -> DataFrame:
     df = table(spark, base, "sequences", *UNIT, *ORDER, "sequence_aa", "redundancy")
-    return dedup.no_duplicates(df, order=[*UNIT, *ORDER]).select("record_id", "redundancy")
+    return dedup.no_duplicates(df, order=[*UNIT, *ORDER], unique_order=True).select("record_id", "redundancy")
 
 
 @query(f"SELECT {_KEPT} FROM " + _DEDUP.format(src=_MERGE.format(src=f"(SELECT * FROM sequences WHERE {_START} AND {_SHAPE})")))
 def pipeline_default(spark: SparkSession, base: str) -> DataFrame:
-    return filters.run_filters(sequences(spark, base), _steps("default")).select("record_id", "redundancy")
+    return filters.run_filters(sequences(spark, base), _steps("default"), ["record_id", "redundancy"])
 
 
 @query(f"SELECT {_KEPT} FROM " + _DEDUP.format(src=f"(SELECT * FROM {_MERGE.format(src='sequences')} WHERE redundancy >= 3 AND {_START} AND anarci_deletions IS NULL AND {_SHAPE})"))
 def pipeline_most_strict(spark: SparkSession, base: str) -> DataFrame:
-    return filters.run_filters(sequences(spark, base), _steps("most-strict")).select("record_id", "redundancy")
+    return filters.run_filters(sequences(spark, base), _steps("most-strict"), ["record_id", "redundancy"])
 
 
 _LOGGED = ["productive", "fwr1_aa_length >= 20", "fwr4_aa_length >= 10", "anarci_insertions IS NULL", "NOT coalesce(cdr3_aa_length > 37, false)", "NOT anarci_unusual_residue", "NOT anarci_missing_conserved_cysteine", "NOT has_kappa_gap_21"]
@@ -287,23 +293,82 @@ def status_messages(spark: SparkSession, base: str) -> DataFrame:
 _CLEAN = "nullif(regexp_replace(upper(junction_aa), '[^A-Z]+', '', 'g'), '')"
 
 
-@query(f"""WITH r AS (SELECT record_id, locus, {_CLEAN} AS j FROM sequences)
-SELECT record_id, substr(j, 1, 13) AS sequence_aa, CASE WHEN j IS NOT NULL THEN 0 END AS cdr3_aa_start, coalesce(length(substr(j, 1, 13)), 0) AS cdr3_aa_length,
-  CASE WHEN length(j) > 13 THEN 13 END AS fwr4_aa_start, CASE WHEN length(j) > 13 THEN 1 ELSE 0 END AS fwr4_aa_length,
-  substr(j, 1, 13) IS NULL OR j <> substr(j, 1, 13) AS has_wrong_cdr3_reconstruction
-FROM r WHERE locus IS NOT NULL AND j IS NOT NULL""".replace("substr(j, 1, 13) AS sequence_aa", "substr(j, 1, 14) AS sequence_aa"))
+_RESIDUES = "nullif(regexp_replace(upper(sequence_aa), '[^A-Z]+', '', 'g'), '')"
+#: A whole sequence numbered: residue k on position k, and what it has beyond 128 residues inserted on 111 and 112.
+_NUMBERED = f"""q AS (SELECT record_id, chain, locus, {_RESIDUES} AS r, anarci_missing_conserved_cysteine AS mc, anarci_unusual_residue AS ur, anarci_deletions AS d, anarci_insertions AS i FROM sequences),
+w AS (SELECT *, CASE WHEN locus = 'K' AND record_id % 7 = 0 AND length(r) >= 21 THEN substr(r, 1, 20) || '-' || substr(r, 22) ELSE r END AS s,
+  coalesce(length(r), 0) AS n, greatest(coalesce(length(r), 0) - 128, 0) AS x FROM q),
+e AS (SELECT record_id, chain, k, substr(s, CAST(k AS INTEGER), 1) AS aa,
+  CASE WHEN k <= 111 OR x = 0 THEN k WHEN k <= 111 + x // 2 THEN 111 WHEN k <= 111 + x THEN 112 ELSE k - x END AS p,
+  CASE WHEN x = 0 OR k <= 111 OR k > 111 + x THEN 0 WHEN k <= 111 + x // 2 THEN k - 111 ELSE 112 + x - k END AS c
+  FROM (SELECT *, unnest(range(1, n + 1)) AS k FROM w WHERE locus IS NOT NULL)),
+t AS (SELECT *, p || CASE WHEN c = 0 THEN '' WHEN c <= 26 THEN chr(CAST(64 + c AS INTEGER)) ELSE repeat(chr(CAST(38 + c AS INTEGER)), 2) END AS position FROM e)"""
+_SPANS = [("fwr1", 1, 26), ("cdr1", 27, 38), ("fwr2", 39, 55), ("cdr2", 56, 65), ("fwr3", 66, 104), ("cdr3", 105, 117), ("fwr4", 118, 128)]
+_SIZES = ", ".join(f"CASE WHEN locus IS NULL THEN 0 WHEN n > 128 THEN {b - a + 1}{' + x' if r == 'cdr3' else ''} ELSE greatest(least(n, {b}) - {a - 1}, 0) END" for r, a, b in _SPANS)
+
+
+def _numbering(spark: SparkSession, base: str) -> DataFrame:
+    """Numbering literals of whole sequences with their status, read again by ``with_numbering``.
+
+    All regions are there, with their positions in the order of strings, as the numbering software writes them. Some
+    kappa chains get a gap at 21, and every eleventh record another CDR3 to be compared with.
+    """
+    df = spread(table(spark, base, "sequences", "record_id", "chain", "locus", "sequence_aa", "anarci_missing_conserved_cysteine", "anarci_unusual_residue", "anarci_deletions", "anarci_insertions"))
+    r = F.nullif(F.regexp_replace(F.upper("sequence_aa"), "[^A-Z]+", ""), F.lit(""))
+    df = df.withColumn("r", r).withColumns({"n": F.coalesce(F.length("r"), F.lit(0)), "x": F.greatest(F.coalesce(F.length("r"), F.lit(0)) - 128, F.lit(0))})
+    gap = (F.col("locus") == "K") & (F.col("record_id") % 7 == 0)
+    at = lambda p: F.substring("r", p, 1) if p < 112 else F.substr("r", F.col("x") + p, F.lit(1))
+    residue = lambda p: F.when(gap, "-").otherwise(at(p)) if p == 21 else at(p)
+    entry = lambda p: F.when(F.col("n") >= p, F.concat(F.lit(f"'{p} ': '"), residue(p), F.lit("'")))
+    inserted = lambda at, size, index: F.when(size > 0, F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(F.lit(f"'{at}"), P.insertion_of_code(i), F.lit("': '"), F.substr("r", index(i), F.lit(1)), F.lit("'"))), ", "))
+    first = F.floor(F.col("x") / 2).cast("int")
+    regions = []
+    for name, a, b in _SPANS:
+        pieces = [entry(p) for p in sorted(range(a, b + 1), key=str)]
+        if name == "cdr3":
+            pieces += [inserted(111, first, lambda i: F.lit(111) + i), inserted(112, F.col("x") - first, lambda i: F.lit(112) + F.col("x") - i)]
+        key = F.concat(F.lit("'" + name[: 2 if name.startswith("fwr") else 3]), F.lower("locus"), F.lit(name[-1]))
+        regions.append(F.concat(key, F.lit("': {"), F.concat_ws(", ", *pieces), F.lit("}")))
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), ", ")
+    status = F.concat_ws(
+        "|", F.lit(""), F.concat(F.lit("Deletions: "), joined("anarci_deletions")), F.concat(F.lit("Insertion: "), joined("anarci_insertions")),
+        F.when(F.col("anarci_missing_conserved_cysteine"), "Missing Conserved Cysteine: 23"), F.when(F.col("anarci_unusual_residue"), "Unusual residue: X27"), F.lit(""),
+    )
+    cdr3 = F.substr("r", F.lit(105), F.least(F.col("n") - 104, F.lit(13) + F.col("x")))
+    expected = F.when(F.col("n") > 104, F.concat(cdr3, F.when(F.col("record_id") % 11 == 0, "A").otherwise("")))
+    literal = F.when(F.col("n") > 0, F.concat(F.lit("{"), F.concat_ws(", ", *regions), F.lit("}")))
+    rows = df.select("record_id", "chain", "locus", literal.alias("literal"), status.alias("status"), expected.alias("expected"))
+    return with_numbering(rows, "locus", "literal", "status", "expected")
+
+
+def _places() -> Column:
+    text = F.col("imgt_positions").cast("array<string>")
+    return F.when(F.col("has_insertions"), F.zip_with(text, "imgt_insertions", lambda p, i: F.concat(p, i))).otherwise(text)
+
+
+@query(f"""WITH {_NUMBERED}, a AS (SELECT record_id, string_agg(position, ',' ORDER BY k) AS positions FROM t GROUP BY 1), z AS (SELECT *, [{_SIZES}] AS sizes FROM w)
+SELECT record_id, CASE WHEN locus IS NULL THEN '' ELSE coalesce(s, '') END AS sequence_aa, coalesce(positions, '') AS positions, array_to_string(sizes, ',') AS lengths,
+  array_to_string(list_transform(range(1, 8), lambda g: CASE WHEN sizes[g] > 0 THEN CAST(coalesce(list_sum(sizes[1:g - 1]), 0) AS INTEGER) ELSE -1 END), ',') AS starts,
+  locus IS NOT NULL AND x > 0 AS has_insertions, coalesce(locus IS NOT NULL AND ((n >= 23 AND s[23] <> 'C') OR (n >= 104 AND s[104] <> 'C')), false) AS has_mutated_conserved_cysteines,
+  coalesce(locus = 'K' AND s[21] = '-', false) AS has_kappa_gap_21, locus IS NULL OR n < 105 OR record_id % 11 = 0 AS has_wrong_cdr3_reconstruction,
+  mc AS anarci_missing_conserved_cysteine, ur AS anarci_unusual_residue, array_to_string(list_sort(list_distinct(d)), ',') AS deletions, array_to_string(list_sort(list_distinct(i)), ',') AS insertions,
+  CASE WHEN locus IS NULL THEN 'no locus' WHEN r IS NULL THEN 'no numbering' END AS numbering_error
+FROM z LEFT JOIN a USING (record_id)""")
 def numbering(spark: SparkSession, base: str) -> DataFrame:
-    """Numbering literals written from the first 14 residues of junctions (13 positions of CDR3, one of the last region) and read again; ``numbering_whole`` has the rest."""
-    j = F.nullif(F.regexp_replace(F.upper("junction_aa"), "[^A-Z]+", ""), F.lit(""))
-    df = table(spark, base, "sequences", "record_id", "locus", "junction_aa").withColumn("j", j).filter("locus IS NOT NULL AND j IS NOT NULL")
-    letters = F.split("j", "")
-    entry = lambda x, i: F.concat(F.lit("'"), (F.lit(105) + i).cast("string"), F.lit(" ': '"), x, F.lit("'"))
-    cdr3 = F.array_join(F.reverse(F.transform(F.slice(letters, 1, 13), entry)), ", ")
-    fwr4 = F.coalesce(F.concat(F.lit("'118 ': '"), F.get(letters, F.lit(13)), F.lit("'")), F.lit(""))
-    low = F.lower("locus")
-    literal = F.concat(F.lit("{'fw"), low, F.lit("1': {}, 'cdr"), low, F.lit("3': {"), cdr3, F.lit("}, 'fw"), low, F.lit("4': {"), fwr4, F.lit("}}"))
-    out = with_numbering(df.withColumns({"literal": literal, "status": F.lit(None).cast("string")}), "locus", "literal", "status", "j")
-    return out.filter("numbering_error IS NULL").select("record_id", "sequence_aa", "cdr3_aa_start", "cdr3_aa_length", "fwr4_aa_start", "fwr4_aa_length", "has_wrong_cdr3_reconstruction")
+    out = _numbering(spark, base)
+    names = [r for r, _, _ in _SPANS]
+    flags = ("has_insertions", "has_mutated_conserved_cysteines", "has_kappa_gap_21", "has_wrong_cdr3_reconstruction", "anarci_missing_conserved_cysteine", "anarci_unusual_residue")
+    return out.select(
+        "record_id", "sequence_aa", F.array_join(_places(), ",").alias("positions"), F.concat_ws(",", *(f"{r}_aa_length" for r in names)).alias("lengths"),
+        F.concat_ws(",", *(F.coalesce(f"{r}_aa_start", F.lit(-1)) for r in names)).alias("starts"), *flags,
+        F.array_join("anarci_deletions", ",").alias("deletions"), F.array_join("anarci_insertions", ",").alias("insertions"), "numbering_error",
+    )
+
+
+@query(f"WITH {_NUMBERED} SELECT chain, position, aa AS residue, count(*) AS count FROM t GROUP BY ALL")
+def position_counts_numbered(spark: SparkSession, base: str) -> DataFrame:
+    """Counts by numbered position, insertions included."""
+    return stats.position_counts(_numbering(spark, base).filter("numbering_error IS NULL"))
 
 
 #: Residue k of a whole junction: where it stands. 104 and 118 are the ends; between them, up to 7 and 6 positions of CDR3, the rest inserted on 111 and 112.
@@ -347,7 +412,7 @@ def numbering_whole(spark: SparkSession, base: str) -> DataFrame:
     literal = F.concat(F.lit("{'fw"), low, F.lit("3': {'104 ': '"), F.substring("j", 1, 1), F.lit("'}, 'cdr"), low, F.lit("3': {"), cdr3, F.lit("}, 'fw"), low, F.lit("4': {"), last, F.lit("}}"))
     df = df.withColumns({"literal": literal, "status": F.lit(None).cast("string"), "expected": F.when(F.col("n") > 0, F.substring("j", 2, 1 << 30).substr(F.lit(1), n))})
     out = with_numbering(df, "locus", "literal", "status", "expected")
-    at = F.when(F.col("has_insertions"), F.zip_with("imgt_positions", "imgt_insertions", lambda p, i: F.concat(p.cast("string"), i))).otherwise(F.col("imgt_positions").cast("array<string>"))
+    at = _places()
     regions = [f"{r}_aa_{x}" for r in ("fwr3", "cdr3", "fwr4") for x in ("start", "length")]
     return out.select("record_id", "sequence_aa", F.array_join(at, ",").alias("positions"), *regions, "has_insertions", "has_wrong_cdr3_reconstruction", "numbering_error")
 
@@ -368,22 +433,12 @@ def position_counts(spark: SparkSession, base: str) -> DataFrame:
 
 
 _REGION = "CASE WHEN CAST(position AS INTEGER) <= 26 THEN 'fwr1' WHEN CAST(position AS INTEGER) <= 38 THEN 'cdr1' ELSE 'fwr2' END"
-_SUMS = ", ".join(f"CAST(sum(count) FILTER (residue = '{r}') AS BIGINT) AS {r}" for r in "ACW")
+_SUMS = ", ".join(f"CAST(sum(count) FILTER (residue = '{r}') AS BIGINT) AS {r}" for r in stats.AMINO_ACIDS)
 
 
 @query(f"""SELECT chain, position, {_REGION} AS region, {_SUMS}, CAST(sum(count) AS BIGINT) AS total FROM ({_COUNTS}) GROUP BY ALL
 UNION ALL SELECT chain, 'total', 'sequence', {_SUMS}, CAST(sum(count) AS BIGINT) FROM ({_COUNTS}) GROUP BY ALL""")
 def position_matrix(spark: SparkSession, base: str) -> DataFrame:
-    return stats.in_position_order(stats.position_matrix(_counts(spark, base), ["chain"], ["A", "C", "W"]), ["chain"])
-
-
-_ALL_SUMS = ", ".join(f"CAST(sum(count) FILTER (residue = '{r}') AS BIGINT) AS {r}" for r in stats.AMINO_ACIDS)
-
-
-@query(f"""SELECT chain, position, {_REGION} AS region, {_ALL_SUMS}, CAST(sum(count) AS BIGINT) AS total FROM ({_COUNTS}) GROUP BY ALL
-UNION ALL SELECT chain, 'total', 'sequence', {_ALL_SUMS}, CAST(sum(count) AS BIGINT) FROM ({_COUNTS}) GROUP BY ALL""")
-def position_matrix_whole(spark: SparkSession, base: str) -> DataFrame:
-    """All residues of the alphabet, of which ``position_matrix`` and its SQL have three."""
     return stats.in_position_order(stats.position_matrix(_counts(spark, base), ["chain"]), ["chain"])
 
 
@@ -424,7 +479,7 @@ _GROUPS = """SELECT species, chain, v_call, ml_subset, count(*) AS count FROM (
 
 
 def _grouped(spark: SparkSession, base: str) -> DataFrame:
-    rows = metadata.attach_units(table(spark, base, "sequences", *UNIT, "chain", "v_call", "ml_subset"), table(spark, base, "unit_metadata", *UNIT, "species"), ["species"])
+    rows = metadata.attach_units(table(spark, base, "sequences", *UNIT, "chain", "v_call", "ml_subset"), table(spark, base, "unit_metadata", *UNIT, "download_date", "species"), ["species"])
     return stats.group_counts(rows, ["species", "chain", "v_call", "ml_subset"])
 
 
@@ -638,14 +693,8 @@ def units_on_disk(spark: SparkSession, base: str) -> DataFrame:
     return metadata.unit_ids(table(spark, base, "sequences", *UNIT))
 
 
-@query("""SELECT DISTINCT u.* FROM (SELECT oas_subset, study_id, unit_id, download_error FROM unit_snapshots WHERE snapshot_no = 6) u WHERE download_error IS NULL""")
-def usable_units(spark: SparkSession, base: str) -> DataFrame:
-    return metadata.usable_units(table(spark, base, "unit_snapshots").filter("snapshot_no = 6")).select(*UNIT, "download_error").distinct()
-
-
 @query("SELECT DISTINCT snapshot_no, oas_subset, study_id, unit_id, download_error FROM unit_snapshots WHERE download_error IS NULL")
-def usable_units_whole(spark: SparkSession, base: str) -> DataFrame:
-    """Those of all snapshots, of which ``usable_units`` and its SQL have the sixth."""
+def usable_units(spark: SparkSession, base: str) -> DataFrame:
     return metadata.usable_units(table(spark, base, "unit_snapshots", "snapshot_no", *UNIT, "download_error")).distinct()
 
 
@@ -667,7 +716,7 @@ def _run(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{target}/rows").select(*stream.columns)
 
 
-@query("SELECT DISTINCT sequence_aa FROM sequences WHERE sequence_aa <> ''")
+@query("SELECT DISTINCT sequence_aa FROM sequences WHERE sequence_aa <> '' UNION ALL SELECT sequence_aa FROM sequences WHERE sequence_aa IS NULL OR sequence_aa = ''")
 def stream_dedup(spark: SparkSession, base: str) -> DataFrame:
     return _run(first_seen(_stream(spark, base, "sequences").select("sequence_aa")), "stream").select("sequence_aa")
 
@@ -681,9 +730,12 @@ def stream_windows(spark: SparkSession, base: str) -> DataFrame:
     return _run(counts.select("event_type", F.date_format("window.start", "yyyy-MM-dd").alias("start"), "count"), "windows")
 
 
-@query(f"SELECT record_id, round(CASE WHEN {_CLEAN} IS NOT NULL THEN (length({_CLEAN}) - length(replace({_CLEAN}, 'W', ''))) / length({_CLEAN}) END, 4) AS share_of_w FROM sequences")
+@query(f"""SELECT record_id, array_to_string(list_transform(string_split('ACDEFGHIKLMNPQRSTVWY', ''), lambda x: length(j) - length(replace(j, x, ''))), ',') AS residues
+FROM (SELECT record_id, {_CLEAN} AS j FROM sequences)""")
 def embed_composition(spark: SparkSession, base: str) -> DataFrame:
+    """The shares of all residues that the stand-in model gives, as numbers of residues again."""
     j: Column = F.nullif(F.regexp_replace(F.upper("junction_aa"), "[^A-Z]+", ""), F.lit(""))
     df = table(spark, base, "sequences", "record_id", "junction_aa").select("record_id", j.alias("j"))
     out = embed(df, composition_model, "j")
-    return out.select("record_id", F.round(F.get("embedding", F.lit(18)).cast("double"), 4).alias("share_of_w"))
+    counts = F.transform("embedding", lambda x: F.round(x * F.length("j")).cast("int").cast("string"))
+    return out.select("record_id", F.array_join(counts, ",").alias("residues"))

@@ -11,10 +11,13 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "vdjlake", cores: int | None = None, shuffle_partitions: int = 8) -> SparkSession:
-    """A local session with UTC time, AQE and Arrow; returns the active one if there is one."""
+def build_session(app: str = "vdjlake", cores: int | None = None, shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """A local session with UTC time, AQE and Arrow; returns the active one if there is one.
+
+    ``shared``, or the variable VDJLAKE_SHARED_DIR, names the folder for tables that cut lineage.
+    """
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -24,8 +27,9 @@ def build_session(app: str = "vdjlake", cores: int | None = None, shuffle_partit
         .config("spark.driver.memory", os.environ.get("VDJLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    folder = shared or os.environ.get("VDJLAKE_SHARED_DIR")
+    return (builder.config("spark.checkpoint.dir", folder) if folder else builder).getOrCreate()
 
 
 def ship(spark: SparkSession) -> None:

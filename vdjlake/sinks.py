@@ -10,9 +10,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vdjlake.operators.filters import RowFilter, filter_log, pipeline, run_filters
+from vdjlake.operators.filters import RowFilter, pipeline, run_logged
+from vdjlake.operators.joins import join_null_safe
 from vdjlake.operators.sampling import sample_rows, sample_units
 from vdjlake.schema import UNIT_KEY
+from vdjlake.storage import cut
 
 
 def write_parquet(df: DataFrame, path: str, level: int = 9, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
@@ -23,13 +25,12 @@ def write_parquet(df: DataFrame, path: str, level: int = 9, mode: str = "errorif
 def write_sequences(df: DataFrame, path: str, unit: Sequence[str] = UNIT_KEY, value: str = "sequence_aa", mode: str = "errorifexists", rows_a_file: int = 2_000_000) -> None:
     """A data set partitioned by unit, each file sorted by ``value``, which compresses best.
 
-    Rows are spread by unit and a salt of the value, as many salts as a unit of its size needs files: a large unit is
-    written by several tasks, and small ones share tasks without leaving a file a task.
+    Rows are rebalanced by unit: adaptive execution cuts the partition of a large unit into several tasks and lets
+    small units share one. The input is run once. Rows with a null in the unit are written too, as such a folder.
     """
-    sizes = df.groupBy(*unit).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_a_file)).cast("int").alias("__files"))
-    salted = df.join(sizes, list(unit)).withColumn("__salt", F.pmod(F.xxhash64(value), F.col("__files")))
-    laid = salted.repartition(*unit, "__salt").sortWithinPartitions(*unit, value).drop("__files", "__salt")
-    write_parquet(laid, path, 10, mode, unit)
+    laid = df.hint("rebalance", *unit).sortWithinPartitions(*unit, value)
+    writer = laid.write.mode(mode).option("compression", "zstd").option("parquet.compression.codec.zstd.level", "10").option("maxRecordsPerFile", rows_a_file)
+    writer.partitionBy(*unit).parquet(path)
 
 
 def write_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -37,17 +38,14 @@ def write_index(index: DataFrame, path: str, mode: str = "errorifexists") -> Non
     write_parquet(index.repartition("shard"), path, 9, mode, ("shard",))
 
 
-def append_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
-
-
 def copy_dataset(
     spark: SparkSession, rows: DataFrame, destination: str, strategy: str | Sequence[RowFilter] = "none", units: DataFrame | None = None,
     unit_probability: float = 0.0, max_rows_a_unit: int = -1, mode: str = "errorifexists", name: str | None = None,
 ) -> str:
     """Sampled and filtered units below ``destination/filters=<strategy>``, with logs; refuses to overwrite by default.
 
-    One job for all units: units are sampled by id, rows within units, then come the filters in order.
+    Units are sampled by id, rows within units, then come the filters in order. The sample is drawn once and every step
+    runs once, whatever is written from it.
     """
     steps = pipeline(strategy) if isinstance(strategy, str) else tuple(strategy)
     label = name or (strategy if isinstance(strategy, str) else "custom")
@@ -55,13 +53,15 @@ def copy_dataset(
     chosen = rows
     if 0 < unit_probability < 1:
         kept = sample_units(units if units is not None else rows.select(*UNIT_KEY).distinct(), unit_probability)
-        chosen = chosen.join(kept.select(*UNIT_KEY), list(UNIT_KEY), "left_semi")
-    chosen = sample_rows(chosen, max_rows_a_unit)
-    write_sequences(run_filters(chosen, steps), f"{base}/sequences", mode=mode)
+        chosen = join_null_safe(chosen, kept.select(*UNIT_KEY).distinct(), UNIT_KEY, "left_semi")
+    if max_rows_a_unit >= 0:
+        chosen = cut(sample_rows(chosen, max_rows_a_unit), "sample")
+    kept_rows, log = run_logged(chosen, steps)
+    write_sequences(kept_rows, f"{base}/sequences", mode=mode)
     if units is not None:
-        write_parquet(units.join(chosen.select(*UNIT_KEY).distinct(), list(UNIT_KEY), "left_semi"), f"{base}/units", mode=mode)
+        write_parquet(join_null_safe(units, chosen.select(*UNIT_KEY).distinct(), UNIT_KEY, "left_semi"), f"{base}/units", mode=mode)
     if steps:
-        write_parquet(filter_log(chosen, steps), f"{base}/logs", mode=mode)
+        write_parquet(log, f"{base}/logs", mode=mode)
     return base
 
 

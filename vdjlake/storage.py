@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
 import uuid
@@ -19,6 +18,12 @@ def table(spark: SparkSession, base: str, name: str, *columns: str) -> DataFrame
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its files have fewer splits than that; for work that is much per row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by the session. Only where it is unset (tests, local runs) is one made here."""
     path = spark.conf.get(SHARED_DIR, None)
@@ -55,9 +60,3 @@ def sweep(spark: SparkSession) -> None:
     """Delete all tables that ``cut`` has written to the shared folder; call it when their results aren't read any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/vdjlake")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release(df: DataFrame) -> None:
-    """Let go of the shuffle files of finished plans, which Spark otherwise keeps until it next collects garbage."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()

@@ -16,16 +16,16 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, files_a_ba
 
 
 def first_seen(stream: DataFrame, value: str = "sequence_aa", event_time: str | None = None, late: str = "1 day") -> DataFrame:
-    """The first row of each value. Rows with a null or empty value pass as one value each batch key can't hold, so
-    they are left out here; handle them apart.
+    """The first row of each value; rows with a null or empty value all pass, beside the state.
 
     Without an event time the state grows with the values seen and lives as long as the checkpoint. With one, a value
     is remembered for ``late`` behind the watermark and may come out again after that.
     """
-    named = stream.filter(F.col(value).isNotNull() & (F.col(value) != ""))
-    if event_time:
-        return named.withWatermark(event_time, late).dropDuplicatesWithinWatermark([value])
-    return named.dropDuplicates([value])
+    timed = stream.withWatermark(event_time, late) if event_time else stream
+    is_named = F.coalesce(F.col(value) != "", F.lit(False))
+    named, others = timed.filter(is_named), timed.filter(~is_named)
+    once = named.dropDuplicatesWithinWatermark([value]) if event_time else named.dropDuplicates([value])
+    return once.unionByName(others)
 
 
 def windowed_counts(stream: DataFrame, event_time: str, keys: Sequence[str], width: str = "1 hour", late: str = "1 day") -> DataFrame:
