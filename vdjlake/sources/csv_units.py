@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import gzip
 import json
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vdjlake.schema import header_family
+from vdjlake.sources.paths import open_text
 
 
 def parse_metadata_line(line: str) -> dict:
@@ -26,10 +26,9 @@ def parse_metadata_line(line: str) -> dict:
 
 def peek(path: str) -> tuple[dict, list[str], str]:
     """(metadata, column names, first character) of a unit file, from its first two lines."""
-    opened = gzip.open(path, "rt") if path.endswith(".gz") else open(path)
-    with opened as f:
+    with open_text(path) as f:
         first, second = f.readline(), f.readline()
-    return parse_metadata_line(first), [c.strip().strip('"') for c in second.rstrip("\n").split(",")], first.lstrip()[:1]
+    return parse_metadata_line(first), [c.strip().strip('"') for c in second.rstrip("\r\n").split(",")], first.lstrip()[:1]
 
 
 def unit_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -53,32 +52,53 @@ def unit_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return files.repartition(max(1, min(len(paths), 200))).mapInPandas(run, schema)
 
 
-def read_units(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = ("",)) -> DataFrame:
+def unit_lines(spark: SparkSession, paths: Sequence[str], lines_a_batch: int = 10_000) -> DataFrame:
+    """path, line_no (of the rows, from 0) and value of the rows of unit files, without metadata and header lines.
+
+    A file is read and numbered by one task, line by line, so that nothing is shuffled or sorted to number it.
+    """
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            for path in b["path"]:
+                with open_text(path) as f:
+                    f.readline(), f.readline()
+                    at = 0
+                    while lines := [x.rstrip("\r\n") for x in islice(f, lines_a_batch)]:
+                        yield pd.DataFrame({"path": path, "line_no": range(at, at + len(lines)), "value": lines})
+                        at += len(lines)
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    return files.repartition(max(1, len(paths))).mapInPandas(run, "path string, line_no bigint, value string")
+
+
+def read_units(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = ("",), skip_broken: bool = False) -> DataFrame:
     """Raw string rows of unit files with oas_subset, study_id, unit_id and index_in_unit.
 
     Files are grouped by header and read as lines, so that the metadata line is left out by its number, whatever the
     rows look like, and a row's number is its place in the file. Lines are then parsed by position with the header's
     names; a row with fewer fields has nulls for the rest. Null is the empty string; other ``na_tokens`` are nulls too
-    where given. Ids are the last path parts above the file. Quoted line ends aren't expected in these files. A
-    compressed file is one task; what follows is spread by unit, so repartition a very large one.
+    where given. Ids are the last path parts above the file. Quoted line ends aren't expected in these files. A file is
+    one task. A file with a broken head is an error or, with ``skip_broken``, left out; ``unit_headers`` reports these.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for r in unit_headers(spark, paths).collect():  # a row a file
-        if r["error"]:
+        if r["error"] and not skip_broken:
             raise ValueError(f"{r['path']}: {r['error']}")
-        groups[tuple(r["column_names"])].append(r["path"])
+        if not r["error"]:
+            groups[tuple(r["column_names"])].append(r["path"])
+    if not groups:
+        raise ValueError("no unit that can be read")
     frames = []
-    order = Window.partitionBy("__path").orderBy("__block", "__row")
     for columns, files in groups.items():
-        lines = spark.read.text(files).select(
-            "value", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row")
-        )
         schema = ", ".join(f"`{c}` string" for c in columns)
-        rows = lines.withColumn("__line", F.row_number().over(order)).filter("__line > 2")
         parsed = F.from_csv("value", schema, {"quote": '"', "escape": '"'})
-        parts = F.split(F.url_decode("__path"), "/")
+        parts = F.split("path", "/")
         ids = [F.element_at(parts, at).alias(name) for at, name in ((-4, "oas_subset"), (-3, "study_id"), (-2, "unit_id"))]
-        frames.append(rows.select(*ids, (F.col("__line") - 3).cast("bigint").alias("index_in_unit"), parsed.alias("__r")).select("oas_subset", "study_id", "unit_id", "index_in_unit", "__r.*"))
+        lines = unit_lines(spark, files)
+        frames.append(lines.select(*ids, F.col("line_no").alias("index_in_unit"), parsed.alias("__r")).select("oas_subset", "study_id", "unit_id", "index_in_unit", "__r.*"))
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if tuple(na_tokens) != ("",):
         ids = ("oas_subset", "study_id", "unit_id", "index_in_unit")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from vdjlake.functions.urls import fix_paired_url, parse_unit_url
 from vdjlake.schema import SEQUENCE_SCHEMA, UNIT_KEY
+from vdjlake.sources.paths import opened, size_of
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], columns: str | Sequence[str] | None = None) -> DataFrame:
@@ -41,8 +41,9 @@ def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             rows = []
             for p in b["path"]:
                 try:
-                    f = pq.ParquetFile(p)
-                    rows.append((p, f.metadata.num_rows, ",".join(f"{x.name}:{x.type}" for x in f.schema_arrow), os.path.getsize(p), None))
+                    with opened(p) as raw:
+                        f = pq.ParquetFile(raw)
+                        rows.append((p, f.metadata.num_rows, ",".join(f"{x.name}:{x.type}" for x in f.schema_arrow), size_of(p), None))
                 except Exception as e:  # broken files are what is asked for
                     rows.append((p, None, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "num_rows", "schema", "size", "error"])
