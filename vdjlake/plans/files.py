@@ -48,7 +48,7 @@ def _id(name: str) -> Column:
 
 
 def _as_unit_files(spark: SparkSession, base: str) -> list[str]:
-    """Every unit as a compressed file of a metadata line, a header and rows in the order of record_id."""
+    """In these files a null is an empty field. Every unit as a compressed file of a metadata line, a header and rows in the order of record_id."""
     df = table(spark, base, "sequences", *UNIT, "record_id", "locus", "v_call", "j_call", "junction_aa", "redundancy", "productive")
     names = ("sequence_id", "locus", "v_call", "j_call", "junction_aa", "Redundancy", "productive")
     one_line = F.regexp_replace("junction_aa", r"[\r\n]+", " ")  # rows of these files are lines
@@ -63,7 +63,7 @@ def _as_unit_files(spark: SparkSession, base: str) -> list[str]:
 
 
 @query("""SELECT oas_subset, study_id, unit_id, row_number() OVER (PARTITION BY oas_subset, study_id, unit_id ORDER BY record_id) - 1 AS index_in_unit, CAST(record_id AS VARCHAR) AS sequence_id,
-  locus, v_call, j_call, regexp_replace(junction_aa, '[\\r\\n]+', ' ', 'g') AS junction_aa, redundancy, productive FROM sequences""")
+  locus, v_call, j_call, nullif(regexp_replace(junction_aa, '[\\r\\n]+', ' ', 'g'), '') AS junction_aa, redundancy, productive FROM sequences""")
 def units_round_trip(spark: SparkSession, base: str) -> DataFrame:
     raw = csv_units.read_units(spark, _as_unit_files(spark, base))
     typed = normalize.numbers(raw).withColumnRenamed("Redundancy", "redundancy")
