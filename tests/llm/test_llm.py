@@ -421,3 +421,12 @@ def test_hot_keys_are_joined_in_blocks(spark):
         pairs = {(r["q_value"], r["r_value"]) for r in overlap.near_values(df.filter("query"), df.filter("reference"), 1, hot).collect()}
         assert pairs == {(a, b) for a, q, _ in values for b, _, r in values if q and r and _edit_distance(a, b) <= 1}
         assert pairs
+
+
+def test_tilted_probabilities_keep_both_totals():
+    rng = np.random.default_rng(3)
+    q, t = rng.random(300), rng.integers(1, 400, 300).astype(float)
+    for off in (-4000.0, 0.0, 6000.0):
+        out = mixing.tilted(q, t, float(q @ t) + off, float(q.sum()) - 2)
+        assert out.min() >= 0 and out.max() <= 1 and abs(out @ t - q @ t - off) < 1 and abs(out.sum() - q.sum() + 2) < 0.01
+    assert mixing.tilted(q, t, 2 * t.sum(), 5).min() == 1 and mixing.tilted(q, t, -5, 5).max() == 0

@@ -81,11 +81,37 @@ def landing(p: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return out
 
 
+def tilted(q: np.ndarray, t: np.ndarray, tokens: float, texts: float) -> np.ndarray:
+    """Probabilities as ``q``, moved by a + b t within 0 and 1 so that ``tokens`` and ``texts`` are expected of them.
+
+    Where no probabilities give both, all are moved alike towards 0 or 1, and the tokens alone are met as nearly as can be.
+    """
+    z = t / max(float(t.max()), EPS)
+    texts = min(max(texts, 0.0), float(len(q)))
+
+    def moved(b: float) -> np.ndarray:
+        lo, hi = -1.0 - abs(b), 1.0 + abs(b)
+        for _ in range(60):
+            a = (lo + hi) / 2
+            lo, hi = (a, hi) if np.clip(q + a + b * z, 0.0, 1.0).sum() < texts else (lo, a)
+        return np.clip(q + hi + b * z, 0.0, 1.0)
+
+    most = 1e3
+    if not float(moved(-most) @ t) <= tokens <= float(moved(most) @ t):
+        have, every = float(q @ t), float(t.sum())
+        return q * max(tokens, 0.0) / max(have, EPS) if tokens < have else 1 - (1 - q) * max(every - tokens, 0.0) / max(every - have, EPS)
+    lo, hi = -most, most
+    for _ in range(60):
+        b = (lo + hi) / 2
+        lo, hi = (b, hi) if float(moved(b) @ t) < tokens else (lo, b)
+    return moved(hi)
+
+
 def settle(p: np.ndarray, tokens: np.ndarray, reserve: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """All texts decided: what flights left open is rounded, and the reserve, still open, makes up for it.
 
-    The reserve's probabilities are first moved towards 0 or 1 alike, so that it is expected to bring the tokens that
-    rounding took away or added; then it has its own flight and landing, and the last tokens are sought by swapping
+    The reserve's probabilities are first moved so that it is expected to bring the tokens and texts that rounding took
+    away or added; then it has its own flight and landing, and the last tokens are sought by swapping
     single texts of it in or out.
     """
     goal = float((p * tokens).sum())
@@ -97,12 +123,7 @@ def settle(p: np.ndarray, tokens: np.ndarray, reserve: np.ndarray, rng: np.rando
     if not len(r):
         return np.round(out)
     want, t = goal - float((out * tokens)[left].sum()), tokens[r]
-    q = p[r]
-    have, most = float((q * t).sum()), float(t.sum())
-    if want < have:
-        q = q * max(want, 0.0) / max(have, EPS)
-    else:
-        q = 1 - (1 - q) * max(most - want, 0.0) / max(most - have, EPS)
+    q = tilted(p[r], t, want, float(p.sum() - out[left].sum()))
     order = np.argsort(-t, kind="stable")  # small ones last: what stays open at the end is small
     z = flight(np.clip(q[order], 0.0, 1.0), np.column_stack([t[order], np.ones(len(t))]), rng)
     z = landing(z, t[order])
