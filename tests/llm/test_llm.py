@@ -430,3 +430,19 @@ def test_tilted_probabilities_keep_both_totals():
         out = mixing.tilted(q, t, float(q @ t) + off, float(q.sum()) - 2)
         assert out.min() >= 0 and out.max() <= 1 and abs(out @ t - q @ t - off) < 1 and abs(out.sum() - q.sum() + 2) < 0.01
     assert mixing.tilted(q, t, 2 * t.sum(), 5).min() == 1 and mixing.tilted(q, t, -5, 5).max() == 0
+
+
+def test_texts_that_never_fill_a_container_stay_in_their_shards(spark, monkeypatch):
+    """300 texts of 0.7 of the capacity, in shards of 20: no group of a later stage holds more."""
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 97}" for j in range(10))) for i in range(300)], "doc_id bigint, text string")
+    n = len(encoding().encode_ordinary(" ".join(f"w{j}" for j in range(10))))
+    out = packing.pack_texts(df, [("k", int(n * 1.4))], shard_texts=20).collect()
+    assert len({r["container_id"] for r in out}) == len(out) == 300
+    groups = Counter(r["container_id"].rsplit("-", 1)[0] for r in out)
+    assert len(groups) >= 15 and max(groups.values()) <= 60
+
+
+def test_strata_do_not_share_a_column(spark):
+    data = [(f"g{i:02}", s) for i in range(60) for s in (["s0"] if i % 2 else ["s18"]) * 100]
+    out = linked_splits.assign_groups(spark.createDataFrame(data, "g string, s string"), "g", "s", {"a": 0.5, "b": 0.5})
+    assert {(r["split"], r["s"]): r["count"] for r in out.groupBy("split", "s").count().collect()} == {(x, s): 1500 for x in "ab" for s in ("s0", "s18")}

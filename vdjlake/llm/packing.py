@@ -122,8 +122,8 @@ def pack_texts(documents: DataFrame, budgets: Sequence[tuple[str, int]], vocabul
     exactly the capacity, each alone in a container, and a rest that is packed like a text; pieces are token ranges.
     Null and empty texts have no tokens and no container. ``doc_id`` must be unique. Texts repeated under another id
     are packed like any. What the driver holds are the document frequencies of the vocabulary's tokens. Texts of which
-    no two fit together can't fill containers however often they are packed: no shard is ever larger than its bounds,
-    and packing again ends where it no longer lessens the shards by a quarter.
+    no two fit together can't fill containers however often they are packed: shards are never made fewer
+    than their bounds ask for, and packing again ends where it no longer lessens them by a quarter.
     """
     if any(c < 1 for _, c in budgets):
         raise ValueError("capacities must be positive")
