@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import time
 
 import pandas as pd
 import pytest
@@ -181,3 +182,30 @@ def test_stream_keeps_rows_without_a_value(spark, folder):
     df.coalesce(1).write.parquet(f"{folder}/in/a")
     ingest(first_seen(file_stream(spark, f"{folder}/in/*", df.schema)), f"{folder}/out", f"{folder}/state").awaitTermination()
     assert sorted(str(r[0]) for r in spark.read.parquet(f"{folder}/out").select("sequence_aa").collect()) == ["", "", "A", "None", "None"]
+
+
+def test_small_units_are_written_without_a_wait_for_each(spark, folder):
+    ids = ["plain", "a+b c", "x:y/z=%41{[^]}#?*'\"\\", "", None]
+    rows = spark.range(3000).select(
+        F.lit("s").alias("oas_subset"), F.lit("t").alias("study_id"), F.when(F.col("id") < 5, F.element_at(F.array(*map(F.lit, ids)), (F.col("id") + 1).cast("int"))).otherwise(F.concat(F.lit("u"), F.col("id"))).alias("unit_id"),
+        F.when(F.col("id") != 7, F.sha1(F.col("id").cast("string"))).alias("sequence_aa"), F.array(F.col("id").cast("smallint")).alias("places"), F.timestamp_seconds("id").alias("at"), F.lit(None).cast("array<string>").alias("none"),
+    )
+    began = time.perf_counter()
+    files = sinks.write_sequences(rows, f"{folder}/out")
+    assert time.perf_counter() - began < 20 and files.count() == 3000
+    out = spark.read.parquet(f"{folder}/out")
+    assert sorted(out.dtypes) == sorted(rows.dtypes)
+    whole = rows.withColumn("unit_id", F.when(F.col("unit_id") != "", F.col("unit_id")))
+    assert out.select(*rows.columns).exceptAll(whole).count() == whole.exceptAll(out.select(*rows.columns)).count() == 0
+
+
+def test_large_units_are_cut_into_sorted_files(spark, folder):
+    rows = _records(spark).withColumn("unit_id", F.when(F.col("index_in_unit") < 390, "u").otherwise("v"))
+    sinks.write_sequences(rows, f"{folder}/out", rows_a_file=60)
+    sinks.write_sequences(rows, f"{folder}/out", mode="append", rows_a_file=60)
+    out = spark.read.parquet(f"{folder}/out")
+    assert out.count() == 800 and out.select(*rows.columns).exceptAll(rows.unionAll(rows)).count() == 0
+    counts = [pd.read_parquet(f.removeprefix("file://"))["sequence_aa"].tolist() for f in out.inputFiles()]
+    assert max(map(len, counts)) == 60 and all(x == sorted(x) for x in counts)
+    sinks.write_sequences(rows, f"{folder}/out", mode="overwrite")
+    assert spark.read.parquet(f"{folder}/out").count() == 400
