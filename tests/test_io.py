@@ -209,3 +209,21 @@ def test_large_units_are_cut_into_sorted_files(spark, folder):
     assert max(map(len, counts)) == 60 and all(x == sorted(x) for x in counts)
     sinks.write_sequences(rows, f"{folder}/out", mode="overwrite")
     assert spark.read.parquet(f"{folder}/out").count() == 400
+
+
+def test_footers_of_a_table_of_paths_and_their_order(spark, folder):
+    from vdjlake.plans import files as plans
+
+    for name, values in {"a": [None, "A", "B"], "b": ["B", "A"], "c": ["A", None], "d": []}.items():
+        pd.DataFrame({"sequence_aa": pd.array(values, dtype="string")}).to_parquet(f"{folder}/{name}.parquet")
+    paths = spark.createDataFrame([(f"{folder}/{x}.parquet",) for x in "abcde"], "path string")
+    found = {r["path"][-9]: (r["num_rows"], r["in_order"]) for r in footers(spark, paths, "sequence_aa").collect()}
+    assert found == {"a": (3, True), "b": (2, False), "c": (2, False), "d": (0, True), "e": (None, None)}
+    rows = spark.range(3000).select(
+        F.col("id").alias("record_id"), F.lit("s").alias("oas_subset"), F.lit("t").alias("study_id"), F.when(F.col("id") > 1, F.concat(F.lit("a+b:% "), F.col("id") % 1500)).alias("unit_id"), F.sha1(F.col("id").cast("string")).alias("sequence_aa")
+    )
+    rows.write.parquet(f"{folder}/sequences.parquet")
+    began = time.perf_counter()
+    out = plans.footers(spark, folder).collect()
+    assert time.perf_counter() - began < 20 and all(r["in_order"] for r in out)
+    assert {r["unit_id"]: r["num_rows"] for r in out} == {r["unit_id"]: r["n"] for r in rows.groupBy("unit_id").agg(F.count("*").alias("n")).collect()}

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vdjlake import sinks
 from vdjlake.operators import dedup, normalize, stats
@@ -39,8 +38,9 @@ def _written(spark: SparkSession, path: str) -> list[str]:
 
 
 def _id_of(part: Column, name: str) -> Column:
-    """The value of a partition folder."""
-    return F.url_decode(F.substring_index(part, "=", -1)).alias(name)
+    """The value of a partition folder, in which a plus is itself."""
+    value = F.url_decode(F.replace(F.substring_index(part, "=", -1), F.lit("+"), F.lit("%2B")))
+    return F.nullif(value, F.lit("__HIVE_DEFAULT_PARTITION__")).alias(name)
 
 
 def _id(name: str) -> Column:
@@ -97,16 +97,12 @@ def copy_log(spark: SparkSession, base: str) -> DataFrame:
 @query("SELECT oas_subset, study_id, unit_id, count(*) AS num_rows, true AS in_order FROM sequences GROUP BY ALL")
 def footers(spark: SparkSession, base: str) -> DataFrame:
     """Rows of each unit by the footers of its files, and whether these are sorted by sequence."""
-    path = _folder(spark, "sorted")
-    sinks.write_sequences(table(spark, base, "sequences", *UNIT, "record_id", "sequence_aa"), path)
-    found = files.footers(spark, [p for p in _written(spark, path) if p.endswith(".parquet")])
+    written = sinks.write_sequences(table(spark, base, "sequences", *UNIT, "record_id", "sequence_aa"), _folder(spark, "sorted"))
+    found = files.footers(spark, written, "sequence_aa")
     parts = F.split("path", "/")
     ids = [_id_of(F.element_at(parts, at), n) for at, n in ((-4, "oas_subset"), (-3, "study_id"), (-2, "unit_id"))]
-    rows = spark.read.parquet(path).select("sequence_aa", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-    before = F.lag("sequence_aa").over(Window.partitionBy("file").orderBy("at"))  # a file is bounded in rows
-    odd = rows.withColumn("before", before).filter("before > sequence_aa OR (before IS NOT NULL AND sequence_aa IS NULL)").select(F.substring_index("file", "/", -1).alias("name")).distinct().withColumn("odd", F.lit(True))
-    named = found.select(*ids, F.substring_index("path", "/", -1).alias("name"), "num_rows").join(odd, "name", "left")
-    return named.groupBy(*UNIT).agg(F.sum("num_rows").alias("num_rows"), (F.count("odd") == 0).alias("in_order"))
+    # a file that can't be read has no rows and isn't in order
+    return found.select(*ids, "num_rows", F.coalesce("in_order", F.lit(False)).alias("in_order")).groupBy(*UNIT).agg(F.sum("num_rows").alias("num_rows"), F.bool_and("in_order").alias("in_order"))
 
 
 @query(repertoire.ORACLE_SQL["unique_index"])

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from vdjlake.functions.urls import fix_paired_url, parse_unit_url
 from vdjlake.schema import SEQUENCE_SCHEMA, UNIT_KEY
 from vdjlake.sources.paths import opened, size_of
+from vdjlake.storage import over_cores
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], columns: str | Sequence[str] | None = None) -> DataFrame:
@@ -30,8 +31,31 @@ def unit_rows(spark: SparkSession, root: str, subset: str | None = None, study:
     return df.select(*columns) if columns else df
 
 
-def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """path, num_rows, schema (name:type, by commas), size and error of Parquet files, read on the executors."""
+def _in_order(f, column: str) -> bool:
+    """Whether a Parquet file is sorted by a column, nulls first; read in batches."""
+    import pyarrow.compute as pc
+
+    last = None
+    for b in f.iter_batches(100_000, columns=[column], use_threads=False):
+        values = b.column(0)
+        nulls = values.null_count
+        if nulls and (last is not None or values[nulls:].null_count):
+            return False
+        values = values[nulls:]
+        if len(values):
+            if last is not None and values[0].as_py() < last or not pc.all(pc.less_equal(values[:-1], values[1:]), min_count=0).as_py():
+                return False
+            last = values[-1].as_py()
+    return True
+
+
+def footers(spark: SparkSession, paths: Sequence[str] | DataFrame, ordered: str | None = None) -> DataFrame:
+    """path, num_rows, schema (name:type, by commas), size and error of Parquet files, read on the executors.
+
+    ``paths`` may be a table with a column ``path``, so that the driver needn't hold them. With a column ``ordered``,
+    ``in_order`` says whether a file is sorted by it.
+    """
+    names = ["path", "num_rows", "schema", "size", "error", *(["in_order"] if ordered else [])]
 
     def run(batches):
         import pandas as pd
@@ -43,12 +67,14 @@ def footers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                 try:
                     with opened(p) as raw:
                         f = pq.ParquetFile(raw)
-                        rows.append((p, f.metadata.num_rows, ",".join(f"{x.name}:{x.type}" for x in f.schema_arrow), size_of(p), None))
+                        row = (p, f.metadata.num_rows, ",".join(f"{x.name}:{x.type}" for x in f.schema_arrow), size_of(p), None)
+                        rows.append((*row, _in_order(f, ordered)) if ordered else row)
                 except Exception as e:  # broken files are what is asked for
-                    rows.append((p, None, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["path", "num_rows", "schema", "size", "error"])
+                    rows.append((p, None, None, None, f"{type(e).__name__}: {e}", *([None] if ordered else [])))
+            yield pd.DataFrame(rows, columns=names)
 
-    return spark.createDataFrame([(p,) for p in paths], "path string").mapInPandas(run, "path string, num_rows bigint, schema string, size bigint, error string")
+    given = over_cores(paths.select("path")) if isinstance(paths, DataFrame) else spark.createDataFrame([(p,) for p in paths], "path string")
+    return given.mapInPandas(run, "path string, num_rows bigint, schema string, size bigint, error string" + ", in_order boolean" * bool(ordered))
 
 
 def import_units(spark: SparkSession, paths: Sequence[str], schema: T.StructType = SEQUENCE_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:

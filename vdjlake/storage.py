@@ -24,6 +24,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def over_cores(files: DataFrame, tasks_a_core: int = 4) -> DataFrame:
+    """A list of files, hashed to a few tasks a core: its own size says nothing of the work that they are."""
+    return files.repartition(tasks_a_core * files.sparkSession.sparkContext.defaultParallelism, "path")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by the session. Only where it is unset (tests, local runs) is one made here."""
     path = spark.conf.get(SHARED_DIR, None)
