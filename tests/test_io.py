@@ -227,3 +227,31 @@ def test_footers_of_a_table_of_paths_and_their_order(spark, folder):
     out = plans.footers(spark, folder).collect()
     assert time.perf_counter() - began < 20 and all(r["in_order"] for r in out)
     assert {r["unit_id"]: r["num_rows"] for r in out} == {r["unit_id"]: r["n"] for r in rows.groupBy("unit_id").agg(F.count("*").alias("n")).collect()}
+
+
+def test_many_small_units_are_read_in_few_tasks(spark, folder):
+    from vdjlake.plans import files as plans
+
+    ids = F.when(F.col("id") > 1, F.concat(F.lit('a+"b\\:% '), F.col("id") % 1500))
+    rows = spark.range(3000).select(
+        F.col("id").alias("record_id"), F.lit("s").alias("oas_subset"), F.lit("t").alias("study_id"), ids.alias("unit_id"), F.lit("H").alias("locus"), F.lit('v,"1"').alias("v_call"),
+        F.lit(None).cast("string").alias("j_call"), F.concat(F.lit("A"), F.col("id")).alias("junction_aa"), F.col("id").alias("redundancy"), (F.col("id") % 2 == 0).alias("productive"),
+    )
+    rows.write.parquet(f"{folder}/sequences.parquet")
+    began = time.perf_counter()
+    out = plans.units_round_trip(spark, folder)
+    assert out.rdd.getNumPartitions() < 100 and {(r["unit_id"], int(r["sequence_id"]), r["v_call"], r["j_call"], r["junction_aa"], r["redundancy"], r["productive"]) for r in out.collect()} == {
+        (r["unit_id"], r["record_id"], r["v_call"], None, r["junction_aa"], r["redundancy"], r["productive"]) for r in rows.collect()
+    }
+    assert time.perf_counter() - began < 40
+    assert {r["index_in_unit"] for r in out.collect()} == {0, 1}
+
+
+def test_units_with_different_headers_and_a_broken_one(spark, folder):
+    paths = [_unit(folder, "paired" if f[0] == "P" else "unpaired", "S", f"{f}_{i}", f) for f in HEADER_FAMILIES for i in range(3)]
+    table = spark.createDataFrame([(p,) for p in [*paths, f"{folder}/none.csv.gz"]], "path string")
+    with pytest.raises(ValueError, match="none.csv.gz"):
+        read_units(spark, table)
+    out = read_units(spark, table, skip_broken=True)
+    whole = read_units(spark, paths)
+    assert out.count() == 24 and out.exceptAll(whole).count() == 0 and out.filter("unit_id LIKE 'P2%' AND locus_heavy = 'H'").count() == 6 == out.filter("unit_id LIKE 'U2%' AND locus = 'H'").count()

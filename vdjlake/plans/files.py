@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,11 +34,6 @@ def _folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/vdjlake/{label}-{uuid.uuid4().hex}"
 
 
-def _written(spark: SparkSession, path: str) -> list[str]:
-    """The addresses of the files of a data set just written: one a unit or part."""
-    return sorted(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").toPandas()["path"])
-
-
 def _id_of(part: Column, name: str) -> Column:
     """The value of a partition folder, in which a plus is itself."""
     value = F.url_decode(F.replace(F.substring_index(part, "=", -1), F.lit("+"), F.lit("%2B")))
@@ -47,19 +44,27 @@ def _id(name: str) -> Column:
     return _id_of(F.col(name), name)
 
 
-def _as_unit_files(spark: SparkSession, base: str) -> list[str]:
+def _unit_saver(names: tuple[str, ...]):
+    """Lines as a compressed unit file: first its metadata, in JSON that is quoted once more, and a header."""
+
+    def save(f, key, batches) -> None:
+        meta = json.dumps({"Run": key[-1]}, ensure_ascii=False).replace('"', '""')
+        with gzip.GzipFile(fileobj=f, mode="wb", compresslevel=6, mtime=0) as z:
+            z.write(f'"{meta}"\n{",".join(names)}\n'.encode())
+            for b in batches:
+                z.write("".join(f"{x}\n" for x in b.column("value").to_pylist()).encode())
+
+    return save
+
+
+def _as_unit_files(spark: SparkSession, base: str) -> DataFrame:
     """In these files a null is an empty field. Every unit as a compressed file of a metadata line, a header and rows in the order of record_id."""
     df = table(spark, base, "sequences", *UNIT, "record_id", "locus", "v_call", "j_call", "junction_aa", "redundancy", "productive")
     names = ("sequence_id", "locus", "v_call", "j_call", "junction_aa", "Redundancy", "productive")
     one_line = F.regexp_replace("junction_aa", r"[\r\n]+", " ")  # rows of these files are lines
     row = F.struct(F.col("record_id").alias(names[0]), "locus", "v_call", "j_call", one_line.alias("junction_aa"), F.concat("redundancy", F.lit(".0")).alias("Redundancy"), F.when(F.col("productive"), "T").otherwise("F").alias("productive"))
-    meta = F.concat(F.lit('"{""Run"": ""'), "unit_id", F.lit('""}"'))
-    units = df.select(*UNIT).distinct()
-    heads = [units.select(*UNIT, F.lit(at).cast("bigint").alias("at"), line.alias("value")) for at, line in ((-2, meta), (-1, F.lit(",".join(names))))]
-    lines = df.select(*UNIT, F.col("record_id").alias("at"), F.to_csv(row, CSV).alias("value")).unionByName(heads[0]).unionByName(heads[1])
-    path = _folder(spark, "units")
-    lines.repartition(*UNIT).sortWithinPartitions(*UNIT, "at").select(*UNIT, "value").write.partitionBy(*UNIT).option("compression", "gzip").text(path)
-    return [p for p in _written(spark, path) if p.endswith(".gz")]
+    lines = df.select(*UNIT, "record_id", F.to_csv(row, CSV).alias("value")).repartition(*UNIT).sortWithinPartitions(*UNIT, "record_id").select(*UNIT, "value")
+    return sinks.write_unit_files(lines, _folder(spark, "units"), _unit_saver(names), ".csv.gz").select("path")
 
 
 @query("""SELECT oas_subset, study_id, unit_id, row_number() OVER (PARTITION BY oas_subset, study_id, unit_id ORDER BY record_id) - 1 AS index_in_unit, CAST(record_id AS VARCHAR) AS sequence_id,

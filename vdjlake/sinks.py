@@ -18,7 +18,7 @@ from vdjlake.operators.joins import join_null_safe
 from vdjlake.operators.sampling import sample_rows, sample_units
 from vdjlake.schema import UNIT_KEY
 from vdjlake.sources.paths import ARROW_SCHEMES, created
-from vdjlake.storage import cut
+from vdjlake.storage import cut, uncoalesced
 
 
 def write_parquet(df: DataFrame, path: str, level: int = 9, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
@@ -92,7 +92,8 @@ def write_unit_files(df: DataFrame, path: str, save: Callable, ending: str, unit
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*done[at : at + 10_000])], ["path", "num_rows"])
 
     text = df.withColumns({c: F.col(c).cast("string") for c in unit})
-    text.mapInArrow(run, "path string, num_rows bigint").write.mode("append").option("compression", "zstd").parquet(f"{path}/_files/{job}")
+    with uncoalesced(spark):
+        text.mapInArrow(run, "path string, num_rows bigint").write.mode("append").option("compression", "zstd").parquet(f"{path}/_files/{job}")
     system.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"), True).close()
     return spark.read.schema("path string, num_rows bigint").parquet(f"{path}/_files/{job}")
 

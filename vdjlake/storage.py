@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,11 +26,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def over_cores(files: DataFrame, tasks_a_core: int = 4) -> DataFrame:
+def over_cores(files: DataFrame, tasks_a_core: int = 8) -> DataFrame:
     """A list of files, hashed to a few tasks a core: its own size says nothing of the work that they are."""
     return files.repartition(tasks_a_core * files.sparkSession.sparkContext.defaultParallelism, "path")
 
 
+@contextmanager
+def uncoalesced(spark: SparkSession) -> Iterator[None]:
+    """Shuffled partitions stay apart however few bytes they have, for work that is much per file."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by the session. Only where it is unset (tests, local runs) is one made here."""
     path = spark.conf.get(SHARED_DIR, None)
